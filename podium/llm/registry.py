@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from podium.llm.decontaminate import op8_benchmark_decontamination
 from podium.llm.packing import op4_packing
+from podium.llm.quality import op10_quality_classifier
+from podium.llm.secrets import op1_secret_scan
 from podium.llm.simhash import op7_simhash_near_dedup
 from podium.llm.simple8b import op9_token_id_output
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op4_packing": op4_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
+    "op10_quality_classifier": op10_quality_classifier,
 }
+#: None of these has a form that DuckDB runs on whole tables: they train models, call
+#: tokenizers or walk metric and bit trees.  Each is tested against brute force.
 ORACLES: dict[str, str] = {}

@@ -202,6 +202,20 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their component, with their columns.
+
+    Rows without a doc_id stay; of rows that repeat both doc_id and text one stays.
+    """
+    found = near_duplicates(docs.where("doc_id is not null"))
+    kept = materialise(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
+    id_type = docs.schema["doc_id"].dataType
+    ids = lambda rows: kept.where(rows).select(F.col("doc_id").cast(id_type))
+    once = docs.join(ids("count = 1"), "doc_id", "left_semi")
+    again = docs.join(ids("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -1,65 +1,91 @@
-"""Token ids by the tokenizers library, with a memo of pieces.
+"""Token ids by the tokenizers library, with memos of pieces and pre-tokens.
 
-Both vocabularies cut a text before merging, and neither cut ever joins what stands
-on both sides of a blank that a non-blank follows.  So a text is split there, the
-ids of each piece are looked up, and the library encodes only pieces not seen yet.
-The ids are the library's own for the whole text; tests compare them.
+Both vocabularies cut a text into pre-tokens by a pattern before merging, and no
+pre-token joins what stands on both sides of a blank that a non-blank follows.  So a
+text is split there and the ids of each piece are looked up.  A new piece is cut by the
+vocabulary's own pattern, and the library encodes only pre-tokens not seen yet.  The
+ids are the library's own for the whole text; tests compare them.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
+from array import array
 from collections.abc import Callable
 
-import numpy as np
+import public_tokenizers
+import regex
 from tokenizers import Tokenizer
 
-#: A memo that has grown to this many pieces is emptied.
-MEMO_PIECES = 400_000
-#: Longer pieces are encoded each time.
+#: Memos that have grown to so many entries are emptied (about 100 MB each).
+MEMO_PIECES, MEMO_PRETOKENS = 400_000, 600_000
+#: Longer pieces are not kept.
 MEMO_CHARS = 64
+CHUNK = 256
 
 _SPLIT = re.compile(r" (?=\S)")
-_memos: dict[tuple[str, bool], tuple[Tokenizer, dict[str, bytes]]] = {}
+_LOOSE = re.compile(r" (?!\S)")
+_loaded: dict[tuple[str, bool], Callable[[list[str]], list[bytes]]] = {}
 
 
-def pieces(text: str, keep_blank: bool) -> list[str]:
-    """The text cut before blanks; a blank stays at its piece's front if ``keep_blank``."""
-    if not text:
-        return []
-    first, *rest = _SPLIT.split(text)
-    out = [" " + piece for piece in rest] if keep_blank else rest
-    return [first, *out] if first else out
+def pieces(text: str) -> list[str]:
+    """The text cut at blanks that a non-blank follows; those blanks are left out."""
+    return _SPLIT.split(text) if _LOOSE.search(text) else text.split(" ")
 
 
 def encoder(path: str, keep_blank: bool) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit integers."""
-    import os
+    """A function from texts to their ids as little-endian unsigned 32-bit integers.
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if (path, keep_blank) not in _memos:
+    ``keep_blank``: the vocabulary has words with their leading blank (byte-level); else
+    it normalises, drops white space and has its pattern in the file.
+    """
+    if (path, keep_blank) not in _loaded:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        _memos[path, keep_blank] = tokenizer, {}
-    tokenizer, memo = _memos[path, keep_blank]
+        if keep_blank:
+            cut = regex.compile(public_tokenizers.PATTERN).findall
+            pretokens = lambda piece: cut(" " + piece)
+        else:
+            with open(path) as file:
+                steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
+            split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+            normal = tokenizer.normalizer.normalize_str
+            pretokens = lambda piece: split(piece.lower() if piece.isascii() else normal(piece))
+        _loaded[path, keep_blank] = _encoder(tokenizer, pretokens)
+    return _loaded[path, keep_blank]
 
-    def packed(encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
+
+def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Callable[[list[str]], list[bytes]]:
+    code = "I" if array("I").itemsize == 4 else "L"
+    memo: dict[str, bytes] = {}
+    words: dict[str, bytes] = {}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def run(texts: list[str]) -> list[bytes]:
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
         out = []
-        for at in range(0, len(texts), 256):
-            cut = [pieces(text, keep_blank) for text in texts[at : at + 256]]
-            new = list({piece for doc in cut for piece in doc if piece not in memo})
-            extra = {}
-            for piece, encoding in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                (memo if len(piece) <= MEMO_CHARS else extra)[piece] = packed(encoding)
-            if extra:
-                out += [b"".join([memo[p] if p in memo else extra[p] for p in doc]) for doc in cut]
-            else:
-                out += [b"".join([memo[p] for p in doc]) for doc in cut]
+        for at in range(0, len(texts), CHUNK):
+            if len(memo) > MEMO_PIECES:
+                memo.clear()
+            if len(words) > MEMO_PRETOKENS:
+                words.clear()
+            first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, texts[at : at + CHUNK])))
+            new = list(set().union(*rest).difference(memo))
+            cut = list(map(pretokens, new))
+            unseen = list(set().union(*cut).difference(words))
+            words.update(zip(unseen, encode(unseen)))
+            word = words.__getitem__
+            memo.update(zip(new, [b"".join(map(word, parts)) for parts in cut]))
+            piece = memo.__getitem__
+            out += [head + b"".join(map(piece, tail)) for head, tail in zip(encode(list(first)), rest)]
+            for long in (memo, new), (words, unseen):
+                for key in long[1]:
+                    if len(key) > MEMO_CHARS:
+                        del long[0][key]
         return out
 
     return run
