@@ -5,7 +5,8 @@
    (at most 3 ** labellers * 3 rows, whatever the corpus) estimates each labeller's accuracy
    on good and bad documents and the share of good ones.  Documents with a given label
    count with that label: it fixes their class in every round.
-3. The posterior of a document's pattern is its label.  A linear scorer over hashed
+3. The posterior of a document's pattern is its label, if EM is sure of it (``CONFIDENT``):
+   where given labels show a pattern to be mixed, only its labelled documents teach.  A linear scorer over hashed
    words, word beginnings and shape features is trained on a bounded sample of
    documents, ``sample_rows`` at most, drawn by hash; documents with a given label come
    first.  Training is L1-regularised logistic regression, so that rare decisive words
@@ -36,6 +37,8 @@ BITS = 18
 SAMPLE_ROWS = 8000
 #: A feature needs so many of the sample's documents.
 LEAST_DOCS = 5
+#: A pattern teaches when its posterior is as close to 0 or 1.
+CONFIDENT = 0.02
 THRESHOLD = 0.5
 EPOCHS = 12
 PREFIXES = (4, 5, 6)
@@ -175,10 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
     voted = voted.withColumn("pattern", F.concat("pattern", mark))
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
     _, _, posterior = fit_labellers(counts)
+    sure = {p: g for p, g in posterior.items() if min(g, 1 - g) <= CONFIDENT} or posterior
     # half of the sample for either side, so that rare defects are learnt; labelled documents first
-    side = F.col("pattern").contains("0")
+    sides = [F.col("pattern").isin([p for p, g in sure.items() if (g >= 0.5) == side]) for side in (False, True)]
     order = [F.col("given").isNull(), F.xxhash64("key", "doc_id"), "doc_id"]
-    drawn = [voted.where(s).orderBy(*order).limit(sample_rows // 2) for s in (side, ~side)]
+    drawn = [voted.where(side).orderBy(*order).limit(sample_rows // 2) for side in sides]
     chosen = drawn[0].union(drawn[1]).where("doc_id is not null").dropDuplicates(["doc_id"])
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id", "pattern")), "doc_id")
 
