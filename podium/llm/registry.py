@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from podium.llm.decontaminate import op8_benchmark_decontamination
+from podium.llm.licenses import op2_license_scan
 from podium.llm.packing import op4_packing
 from podium.llm.quality import op10_quality_classifier
 from podium.llm.secrets import op1_secret_scan
 from podium.llm.simhash import op7_simhash_near_dedup
 from podium.llm.simple8b import op9_token_id_output
+from podium.llm.token_counts import op3_token_counts
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_license_scan": op2_license_scan,
+    "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,

@@ -13,7 +13,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import public_tokenizers
 import regex
@@ -66,26 +66,41 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Cal
     def encode(texts: list[str]) -> list[bytes]:
         return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def learn(rest: Iterable[list[str]]) -> tuple[list[str], list[str]]:
+        if len(memo) > MEMO_PIECES:
+            memo.clear()
+        if len(words) > MEMO_PRETOKENS:
+            words.clear()
+        new = list(set().union(*rest).difference(memo))
+        cut = list(map(pretokens, new))
+        unseen = list(set().union(*cut).difference(words))
+        words.update(zip(unseen, encode(unseen)))
+        word = words.__getitem__
+        memo.update(zip(new, [b"".join(map(word, parts)) for parts in cut]))
+        return new, unseen
+
+    def forget(new: list[str], unseen: list[str]) -> None:
+        for held, keys in (memo, new), (words, unseen):
+            for key in keys:
+                if len(key) > MEMO_CHARS:
+                    del held[key]
+
     def run(texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), CHUNK):
-            if len(memo) > MEMO_PIECES:
-                memo.clear()
-            if len(words) > MEMO_PRETOKENS:
-                words.clear()
             first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, texts[at : at + CHUNK])))
-            new = list(set().union(*rest).difference(memo))
-            cut = list(map(pretokens, new))
-            unseen = list(set().union(*cut).difference(words))
-            words.update(zip(unseen, encode(unseen)))
-            word = words.__getitem__
-            memo.update(zip(new, [b"".join(map(word, parts)) for parts in cut]))
+            learnt = learn(rest)
             piece = memo.__getitem__
             out += [head + b"".join(map(piece, tail)) for head, tail in zip(encode(list(first)), rest)]
-            for long in (memo, new), (words, unseen):
-                for key in long[1]:
-                    if len(key) > MEMO_CHARS:
-                        del long[0][key]
+            forget(*learnt)
         return out
 
+    def counts(first: str, rest: list[str]) -> list[int]:
+        """Ids of the first piece of a text (or of none) and of pieces that follow a blank."""
+        learnt = learn([rest])
+        out = [len(memo[p]) // 4 for p in rest]
+        forget(*learnt)
+        return [len(encode([first])[0]) // 4, *out]
+
+    run.counts = counts
     return run
