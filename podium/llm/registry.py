@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from podium.llm.decontaminate import op8_benchmark_decontamination
+from podium.llm.html_text import op5_html_extraction
 from podium.llm.licenses import op2_license_scan
+from podium.llm.mtree import op6_mtree_top_k
 from podium.llm.packing import op4_packing
 from podium.llm.quality import op10_quality_classifier
 from podium.llm.secrets import op1_secret_scan
@@ -16,6 +18,8 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_mtree_top_k": op6_mtree_top_k,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
