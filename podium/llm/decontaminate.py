@@ -2,7 +2,7 @@
 
 Words become template tokens: a number is ``<num>``, a unit after a number ``<unit>``, a
 capitalised word ``<name>``, any other word its lower case.  Windows of five tokens are
-hashed and joined with the benchmark's.  A template window needs ``MIN_LITERALS`` plain
+hashed (64 bits of five 64-bit word hashes) and joined with the benchmark's.  A template window needs ``MIN_LITERALS`` plain
 words; besides, every window has a literal key (lower-case words), so that a passage is
 found whatever its case.
 
@@ -29,7 +29,9 @@ MIN_SIMILARITY = 0.8
 MIN_LITERALS = 2
 #: The benchmark's windows are broadcast up to this many rows (about 400 bytes each), else shuffled.
 MOST_BROADCAST = 200_000
-TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+"
+#: Codes of placeholders; other words have their hash.
+NUMBER, UNIT, NAME = 1, 2, 3
+TOKEN = r"[0-9]+(?:[.,][0-9]+)*|[\p{L}\p{M}]+|\p{N}"
 #: Units of measure that may follow a number.
 UNITS = """mm cm m km in ft yd mi mg g kg t lb lbs oz ml cl l s sec min h hr hrs ms ns kb mb gb tb hz khz mhz ghz
 w kw mw v a ma j kj cal kcal pa kpa bar k c f percent usd eur gbp dollars dollar euros euro cents cent pounds pound
@@ -38,53 +40,57 @@ liters liter litres litre seconds second minutes minute hours hour days day week
 degrees degree""".split()
 
 
-def templates(df: DataFrame) -> DataFrame:
-    """Adds ``raw`` (words) and ``canon`` (template tokens)."""
+def tokens(df: DataFrame) -> DataFrame:
+    """Adds ``raw`` (words) and ``told``: for each word its literal hash ``l`` and template code ``c``."""
     raw = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(TOKEN), F.lit(0))
     units = F.lit(UNITS)
+    number = lambda word: F.substring(word, 1, 1).between("0", "9")
 
-    def token(word: Column, before: Column) -> Column:
-        unit = F.array_contains(units, F.lower(word)) & before.rlike(r"^\p{N}")
-        return F.when(word.rlike(r"^\p{N}"), "<num>").when(unit, "<unit>").when(word.rlike(r"^\p{Lu}"), "<name>").otherwise(F.lower(word))
+    def coded(word: Column, i: Column) -> Column:
+        before = F.element_at("raw", F.greatest(i, F.lit(1)))
 
-    canon = F.transform("raw", lambda w, i: token(w, F.when(i > 0, F.element_at("raw", F.greatest(i, F.lit(1)))).otherwise("")))
-    return df.withColumn("raw", raw).withColumn("canon", canon)
+        def of(low: Column) -> Column:
+            literal = F.xxhash64(low)
+            first = F.substring(word, 1, 1)
+            code = (
+                F.when(number(word), NUMBER)
+                .when((i > 0) & number(before) & F.array_contains(units, low), UNIT)
+                .when(first != F.lower(first), NAME)
+                .otherwise(literal)
+            )
+            return F.struct(literal.alias("l"), code.alias("c"))
 
+        return let(F.lower(word), of)
 
-def windows(df: DataFrame) -> Column:
-    """array<struct<at, template, hash>>: each window's keys."""
+    return df.withColumn("raw", raw).withColumn("told", F.transform("raw", coded))
 
-    def keys(i: Column) -> Column:
-        def both(c: Column) -> Column:
-            slots = F.size(F.filter(c, lambda x: x.startswith("<")))
-            literal = F.struct(i.alias("at"), F.lit(False).alias("template"), F.xxhash64(F.concat_ws(" ", F.transform(F.slice("raw", i, WINDOW), F.lower))).alias("hash"))
-            template = F.struct(i.alias("at"), F.lit(True).alias("template"), F.xxhash64(F.concat_ws(" ", c)).alias("hash"))
-            plain = F.struct(i.alias("at"), F.lit(False).alias("template"), F.xxhash64(F.concat_ws(" ", c)).alias("hash"))
-            return F.when(slots == 0, F.array(plain)).when(slots <= WINDOW - MIN_LITERALS, F.array(literal, template)).otherwise(F.array(literal))
 
-        return let(F.slice("canon", i, WINDOW), both)
-
-    return F.when(F.size("raw") >= WINDOW, F.flatten(F.transform(F.sequence(F.lit(1), F.size("raw") - WINDOW + 1), keys)))
+def keyed(df: DataFrame) -> DataFrame:
+    """A row a window and key: ``at`` (from 1), ``template``, ``hash``.  Windows' rows keep the columns of ``df``."""
+    places = F.when(F.size("raw") >= WINDOW, F.sequence(F.lit(1), F.size("raw") - WINDOW + 1))
+    rows = df.select("*", F.explode(places).alias("at"))
+    word = [F.element_at("told", F.col("at") + k) for k in range(WINDOW)]
+    slots = sum((w["c"] != w["l"]).cast("int") for w in word)
+    template = F.when(slots.between(1, WINDOW - MIN_LITERALS), F.xxhash64(*[w["c"] for w in word]))
+    both = F.stack(F.lit(2), F.lit(False), F.xxhash64(*[w["l"] for w in word]), F.lit(True), template)
+    return rows.select("*", both.alias("template", "hash")).where("hash is not null")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, matched, windows, verbatim: one row per leaked item of a document."""
-    key = lambda w, template: F.concat_ws(" ", F.when(template, F.slice("canon", w, WINDOW)).otherwise(F.transform(F.slice("raw", w, WINDOW), F.lower)))
-    items = templates(benchmark.select("item_id", "text").dropDuplicates())
-    items = items.select("item_id", F.size("raw").alias("words"), "raw", "canon", F.explode(windows(items)).alias("w"))
+    items = keyed(tokens(benchmark.select("item_id", "text").dropDuplicates()))
     items = items.select(
-        "item_id", (F.col("words") - WINDOW + 1).alias("windows"), F.col("w.at").alias("item_at"), F.col("w.template").alias("template"),
-        F.col("w.hash").alias("hash"), key(F.col("w.at"), F.col("w.template")).alias("item_key"), F.slice("raw", F.col("w.at"), WINDOW).alias("item_raw"),
+        "item_id", (F.size("raw") - WINDOW + 1).alias("windows"), F.col("at").alias("item_at"), "template", "hash",
+        F.slice("raw", F.col("at"), WINDOW).alias("item_raw"), F.slice("told", F.col("at"), WINDOW).alias("item_told"),
     )
-    told = templates(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text"))
-    told = told.select("doc_id", "raw", "canon", F.explode(windows(told)).alias("d"))
-    met = told.join(bounded(items, MOST_BROADCAST), (F.col("d.hash") == F.col("hash")) & (F.col("d.template") == F.col("template")))
-    at = F.col("d.at")
-    met = met.where(key(at, F.col("template")) == F.col("item_key"))
-    slot = lambda word, i: F.when(F.element_at(F.slice("canon", at, WINDOW), i + 1).startswith("<"), F.struct(F.element_at(F.slice("canon", at, WINDOW), i + 1).alias("kind"), word.alias("asked"), F.element_at(F.slice("raw", at, WINDOW), i + 1).alias("told")))
+    told = keyed(tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")).drop("text"))
+    met = told.join(bounded(items, MOST_BROADCAST), ["template", "hash"])
+    here = F.slice("raw", F.col("at"), WINDOW)
+    kind = lambda i: F.element_at("item_told", i + 1)
+    slot = lambda word, i: F.when(kind(i)["c"] != kind(i)["l"], F.struct(kind(i)["c"].alias("kind"), word.alias("asked"), F.element_at(here, i + 1).alias("said")))
     slots = F.when(F.col("template"), F.filter(F.transform("item_raw", slot), lambda x: x.isNotNull()))
-    same = F.slice("raw", at, WINDOW) == F.col("item_raw")
-    rows = met.select("doc_id", "item_id", "windows", "item_at", (at - F.col("item_at")).alias("diagonal"), "template", slots.alias("slots"), same.alias("same"))
+    same = here == F.col("item_raw")
+    rows = met.select("doc_id", "item_id", "windows", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "template", slots.alias("slots"), same.alias("same"))
     lined = rows.groupBy("doc_id", "item_id", "windows", "diagonal").agg(
         F.collect_set("item_at").alias("places"),
         F.collect_set(F.when(~F.col("template"), F.col("item_at"))).alias("literal_places"),
