@@ -1,6 +1,14 @@
-"""Analytical queries and their DuckDB SQL."""
+"""Analytical queries over the driver's tables, and their DuckDB SQL.
+
+The tables stand for an archive of rankings: a provider is an order priority, an entity a
+customer, a country a nation, an edition an order year, a score a sum of prices, a subject
+a brand.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from podium.plans import documents, facts, rankings, tables
+
+MODULES = (rankings, tables, facts, documents)
+QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
+ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
