@@ -55,14 +55,19 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     blocks = -(-n // block)
     grid = np.zeros(blocks * block, np.uint64)
     grid[:n] = ids
-    selector = np.full(blocks * block, ESCAPE, np.int64)
-    ends = np.minimum((np.arange(blocks * block) // block + 1) * block, n)
-    place = np.arange(blocks * block)
+    selector = np.full(blocks * block, ESCAPE, np.int8)
+    place = np.arange(blocks * block, dtype=np.int32)
+    ends = np.minimum((place // block + 1) * block, n).astype(np.int32)
+    fitting = place  # a selector of narrower ids fits only where all wider ones do
+    top = int(grid.max())
     for s in range(len(COUNTS) - 1, -1, -1):  # from one id a word to sixty: the later, the better
-        wide = np.concatenate(([0], np.cumsum(grid >> np.uint64(WIDTHS[s]) != 0)))
-        stop = np.minimum(place + COUNTS[s], ends)
-        fits = wide[np.maximum(stop, place)] == wide[place]
-        selector[fits] = s
+        if top >> int(WIDTHS[s]):
+            wide = np.zeros(len(grid) + 1, np.int32)
+            np.cumsum(grid >= np.uint64(1 << int(WIDTHS[s])), out=wide[1:])
+            stop = np.maximum(np.minimum(fitting + np.int32(COUNTS[s]), ends[fitting]), fitting)
+            fitting = fitting[wide[stop] == wide[fitting]]
+        selector[fitting] = s
+    selector = selector.astype(np.int64)
     taken = np.minimum(np.where(selector == ESCAPE, 1, COUNTS[np.minimum(selector, 13)]), np.maximum(ends - place, 1))
     walk, heads = np.arange(blocks) * block, []
     limit = np.minimum(walk + block, n)
@@ -83,11 +88,13 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
         mine = np.flatnonzero(chosen == s)
         if not len(mine):
             continue
-        for k in range(int(COUNTS[s])):
-            held = mine[k < taken[head[mine]]]
-            if not len(held):
-                break
-            words[at[held]] |= grid[head[held] + k] << np.uint64(k * int(WIDTHS[s]))
+        shifts = np.arange(int(COUNTS[s]), dtype=np.uint64) * np.uint64(WIDTHS[s])
+        full = mine[taken[head[mine]] == COUNTS[s]]
+        held = grid[head[full][:, None] + np.arange(int(COUNTS[s]))]
+        words[at[full]] |= np.bitwise_or.reduce(held << shifts, axis=1)
+        for one in mine[taken[head[mine]] < COUNTS[s]].tolist():  # the ends of blocks
+            left = int(taken[head[one]])
+            words[at[one]] |= np.bitwise_or.reduce(grid[head[one] : head[one] + left] << shifts[:left])
     first = at[np.searchsorted(head, np.arange(blocks) * block)]
     return words, first.astype(np.uint64)
 

@@ -9,18 +9,20 @@ ids are the library's own for the whole text; tests compare them.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import public_tokenizers
 import regex
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-#: Memos that have grown to so many entries are emptied (about 100 MB each).
-MEMO_PIECES, MEMO_PRETOKENS = 400_000, 600_000
+#: Memos that have grown to so many entries (some 200 bytes each) lose the newer half: what is
+#: frequent was seen early.
+MEMO_PIECES, MEMO_PRETOKENS = 700_000, 600_000
 #: Longer pieces are not kept.
 MEMO_CHARS = 64
 CHUNK = 256
@@ -53,30 +55,33 @@ def encoder(path: str, keep_blank: bool) -> Callable[[list[str]], list[bytes]]:
                 steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
             split = regex.compile(steps[0]["pattern"]["Regex"]).findall
             normal = tokenizer.normalizer.normalize_str
-            pretokens = lambda piece: split(piece.lower() if piece.isascii() else normal(piece))
+            # below U+0250 nothing composes, and lower case is the same in Python
+            pretokens = lambda piece: split(piece.lower() if piece.isascii() or max(piece) < "\u0250" else normal(piece))
         _loaded[path, keep_blank] = _encoder(tokenizer, pretokens)
     return _loaded[path, keep_blank]
 
 
 def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Callable[[list[str]], list[bytes]]:
+    single = Tokenizer(tokenizer.model)  # for what is a pre-token already
+    single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     code = "I" if array("I").itemsize == 4 else "L"
     memo: dict[str, bytes] = {}
     words: dict[str, bytes] = {}
 
-    def encode(texts: list[str]) -> list[bytes]:
-        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str], by: Tokenizer = tokenizer) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(rest: Iterable[list[str]]) -> tuple[list[str], list[str]]:
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
-        if len(words) > MEMO_PRETOKENS:
-            words.clear()
-        new = list(set().union(*rest).difference(memo))
+    def learn(missing: set[str]) -> tuple[list[str], list[str]]:
+        for held, most in (memo, MEMO_PIECES), (words, MEMO_PRETOKENS):
+            if len(held) > most:
+                for key in list(held)[most // 2 :]:
+                    del held[key]
+        new = list(missing)
         cut = list(map(pretokens, new))
         unseen = list(set().union(*cut).difference(words))
-        words.update(zip(unseen, encode(unseen)))
+        words.update(zip(unseen, encode(unseen, single)))
         word = words.__getitem__
-        memo.update(zip(new, [b"".join(map(word, parts)) for parts in cut]))
+        memo.update(zip(new, [word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts)) for parts in cut]))
         return new, unseen
 
     def forget(new: list[str], unseen: list[str]) -> None:
@@ -87,18 +92,23 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Cal
 
     def run(texts: list[str]) -> list[bytes]:
         out = []
+        gc.disable()  # the memos hold no cycles; walking them again and again takes longer than the work
         for at in range(0, len(texts), CHUNK):
             first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, texts[at : at + CHUNK])))
-            learnt = learn(rest)
-            piece = memo.__getitem__
-            out += [head + b"".join(map(piece, tail)) for head, tail in zip(encode(list(first)), rest)]
+            known = [list(map(memo.get, tail)) for tail in rest]
+            missing = {piece for tail, ids in zip(rest, known) if None in ids for piece, x in zip(tail, ids) if x is None}
+            learnt = learn(missing)
+            known = [[memo[p] if x is None else x for p, x in zip(tail, ids)] if None in ids else ids for tail, ids in zip(rest, known)]
+            out += [head + b"".join(ids) for head, ids in zip(encode(list(first)), known)]
             forget(*learnt)
+        gc.enable()
         return out
 
     def counts(first: str, rest: list[str]) -> list[int]:
         """Ids of the first piece of a text (or of none) and of pieces that follow a blank."""
-        learnt = learn([rest])
-        out = [len(memo[p]) // 4 for p in rest]
+        known = list(map(memo.get, rest))
+        learnt = learn({p for p, x in zip(rest, known) if x is None})
+        out = [len(memo[p] if x is None else x) // 4 for p, x in zip(rest, known)]
         forget(*learnt)
         return [len(encode([first])[0]) // 4, *out]
 
