@@ -148,9 +148,10 @@ def json_ld(pages: DataFrame, key: str, markup: str, depth: int = 8, most: int =
                 nodes: list = []
                 for block in blocks if blocks is not None else []:
                     try:
-                        walk(json.loads(block), 0, nodes)
+                        value = json.loads(block)
                     except ValueError:
                         continue  # a broken block says nothing
+                    walk(value, 0, nodes)
                 out += [(k, i, text(n.get("@type")), text(n.get("name")), json.dumps(n)) for i, n in enumerate(nodes)]
             yield pd.DataFrame(out, columns=["key", "node", "kind", "name", "body"])
 

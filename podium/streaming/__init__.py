@@ -27,10 +27,16 @@ def landing_upsert(spark: SparkSession, schema: str, landing: str, store: str, c
     return rows.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _watermarked(events: DataFrame, time: str, late: str) -> DataFrame:
+    """Streams need a time with a zone and a watermark; batches are left as they are."""
+    if not events.isStreaming:
+        return events
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+
+
 def windowed_counts(events: DataFrame, time: str, keys: list[str], width: str, slide: str | None = None, late: str = "1 hour") -> DataFrame:
     """Tumbling or sliding event-time counts and sums; later rows than ``late`` drop out of a stream."""
-    if events.isStreaming:
-        events = events.withWatermark(time, late)
+    events = _watermarked(events, time, late)
     window = F.window(time, width, slide) if slide else F.window(time, width)
     out = events.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
     return out.select(F.col("w.start").alias("start"), *keys, "n", "total")
@@ -38,8 +44,7 @@ def windowed_counts(events: DataFrame, time: str, keys: list[str], width: str, s
 
 def sessions(events: DataFrame, time: str, key: str, gap: str, late: str = "1 hour") -> DataFrame:
     """Sessions of a key with no gap longer than ``gap``."""
-    if events.isStreaming:
-        events = events.withWatermark(time, late)
+    events = _watermarked(events, time, late)
     out = events.groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count("*").alias("n"))
     return out.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
