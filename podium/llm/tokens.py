@@ -16,6 +16,7 @@ import re
 from array import array
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
@@ -57,13 +58,19 @@ def encoder(path: str, keep_blank: bool) -> Callable[[list[str]], list[bytes]]:
             normal = tokenizer.normalizer.normalize_str
             # below U+0250 nothing composes, and lower case is the same in Python
             pretokens = lambda piece: split(piece.lower() if piece.isascii() or max(piece) < "\u0250" else normal(piece))
-        _loaded[path, keep_blank] = _encoder(tokenizer, pretokens)
+        _loaded[path, keep_blank] = _encoder(tokenizer, pretokens, not keep_blank)
     return _loaded[path, keep_blank]
 
 
-def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Callable[[list[str]], list[bytes]]:
+def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower: bool) -> Callable[[list[str]], list[bytes]]:
+    """``lower``: the vocabulary is lower case and marks the ends of words."""
     single = Tokenizer(tokenizer.model)  # for what is a pre-token already
     single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    lines = Tokenizer(tokenizer.model)  # for many of them at once, a line each
+    lines.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\n"), single.pre_tokenizer])
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
     code = "I" if array("I").itemsize == 4 else "L"
     memo: dict[str, bytes] = {}
     words: dict[str, bytes] = {}
@@ -71,18 +78,46 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]]) -> Cal
     def encode(texts: list[str], by: Tokenizer = tokenizer) -> list[bytes]:
         return [array(code, e.ids).tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_pretokens(texts: list[str]) -> list[bytes]:
+        """By lines where word ends tell them apart again."""
+        if not lower:
+            return encode(texts, single)
+        out = []
+        for at in range(0, len(texts), 500):
+            part = texts[at : at + 500]
+            ids = np.array(lines.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *((np.flatnonzero(ends[ids]) + 1) * 4).tolist()]
+            flat = ids.tobytes()
+            whole = len(cuts) == len(part) + 1 and cuts[-1] == len(flat)
+            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])] if whole else encode(part, single)
+        return out
+
+    def derived(piece: str) -> bytes | None:
+        """From a known piece: the same in lower case, or with full stops or commas after a letter or digit."""
+        if lower and piece.isascii():
+            low = piece.lower()
+            if low != piece and low in memo:
+                return memo[low]
+        core = piece.rstrip(".,")
+        if core != piece and core and core[-1].isalnum() and core in memo:
+            tail = words.get(piece[len(core) :])
+            return None if tail is None else memo[core] + tail
+        return None
+
     def learn(missing: set[str]) -> tuple[list[str], list[str]]:
         for held, most in (memo, MEMO_PIECES), (words, MEMO_PRETOKENS):
             if len(held) > most:
                 for key in list(held)[most // 2 :]:
                     del held[key]
-        new = list(missing)
+        easy = [(piece, ids) for piece in missing if (ids := derived(piece)) is not None]
+        memo.update(easy)
+        new = [piece for piece in missing if piece not in memo] if easy else list(missing)
         cut = list(map(pretokens, new))
         unseen = list(set().union(*cut).difference(words))
-        words.update(zip(unseen, encode(unseen, single)))
+        words.update(zip(unseen, encode_pretokens(unseen)))
         word = words.__getitem__
         memo.update(zip(new, [word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts)) for parts in cut]))
-        return new, unseen
+        return list(missing), unseen
 
     def forget(new: list[str], unseen: list[str]) -> None:
         for held, keys in (memo, new), (words, unseen):
