@@ -111,8 +111,8 @@ def subject_outperformers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {YEARLY}, {NATIONS}, per AS (SELECT year, country, sum(score) AS share, count(*) FILTER (WHERE n >= 2) AS strong FROM yearly JOIN nations USING (entity) WHERE year IN (1995, 2000) GROUP BY 1, 2),
 a AS (SELECT * FROM per WHERE year = 1995 AND share < 1e12), b AS (SELECT * FROM per WHERE year = 2000)
-SELECT coalesce(a.country, b.country) AS country, coalesce(a.share, 0)::DECIMAL(28,2) AS first_share, coalesce(b.share, 0)::DECIMAL(28,2) AS last_share,
-(coalesce(b.share, 0) - coalesce(a.share, 0))::DECIMAL(28,2) AS change, CASE WHEN coalesce(a.share, 0) <> 0 THEN round_even((coalesce(b.share, 0)::DOUBLE - a.share::DOUBLE) / a.share::DOUBLE * 100, 6) END AS percent,
+SELECT coalesce(a.country, b.country) AS country, coalesce(a.share, 0)::DECIMAL(28,2)::DOUBLE AS first_share, coalesce(b.share, 0)::DECIMAL(28,2)::DOUBLE AS last_share,
+(coalesce(b.share, 0) - coalesce(a.share, 0))::DECIMAL(28,2)::DOUBLE AS change, CASE WHEN coalesce(a.share, 0) <> 0 THEN round_even((coalesce(b.share, 0)::DOUBLE - a.share::DOUBLE) / a.share::DOUBLE * 100, 6) END AS percent,
 coalesce(a.strong, 0) AS first_strong, coalesce(b.strong, 0) AS last_strong FROM a FULL JOIN b ON a.country = b.country ORDER BY last_share DESC, country LIMIT 18""")
 def country_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two editions by country, missing sides as zeros."""
@@ -124,7 +124,7 @@ def country_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.orderBy(F.desc("last_share"), "country").limit(18)
 
 
-@query(f"""WITH {SUBJECT} SELECT subject, entity, score::DECIMAL(28,2) AS score, rank FROM board WHERE rank <= 10""")
+@query(f"""WITH {SUBJECT} SELECT subject, entity, score::DECIMAL(28,2)::DOUBLE AS score, rank FROM board WHERE rank <= 10""")
 def subject_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _board(spark, sf_dir, 10).select("subject", "entity", "score", "rank")
 
@@ -198,7 +198,7 @@ def _indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {INDICATORS}, r AS (SELECT *, rank() OVER (ORDER BY scale DESC) AS rank FROM ind) SELECT entity, scale::DECIMAL(28,2) AS scale, round_even(impact, 9) AS impact, rank FROM r WHERE rank <= 140""")
+@query(f"""WITH {INDICATORS}, r AS (SELECT *, rank() OVER (ORDER BY scale DESC) AS rank FROM ind) SELECT entity, scale::DECIMAL(28,2)::DOUBLE AS scale, round_even(impact, 9) AS impact, rank FROM r WHERE rank <= 140""")
 def scale_impact_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _indicators(spark, sf_dir).withColumn("rank", R.rank_min(F.col("scale"), []))
     return placed.where("rank <= 140").select("entity", "scale", F.bround("impact", 9).alias("impact"), "rank")
@@ -222,7 +222,7 @@ def spotlights_argmin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRENDS = CONSENSUS + """, lead14 AS (SELECT entity FROM consensus ORDER BY raw DESC, providers DESC, entity LIMIT 14),
-points AS (SELECT o_custkey AS entity, o_orderpriority AS provider, year(o_orderdate) AS year, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(28,2) AS score FROM orders SEMI JOIN lead14 ON o_custkey = entity GROUP BY 1, 2, 3),
+points AS (SELECT o_custkey AS entity, o_orderpriority AS provider, year(o_orderdate) AS year, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(28,2)::DOUBLE AS score FROM orders SEMI JOIN lead14 ON o_custkey = entity GROUP BY 1, 2, 3),
 kept AS (SELECT * FROM points WHERE (entity, provider) IN (SELECT (entity, provider) FROM points GROUP BY entity, provider HAVING count(*) >= 2))"""
 
 
@@ -238,7 +238,7 @@ def entity_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {TRENDS} SELECT entity, provider, count(*) AS points, min(year) AS first_year, max(year) AS last_year, arg_min(score, year) AS first_score, arg_max(score, year) AS last_score,
-(arg_max(score, year) - arg_min(score, year))::DECIMAL(28,2) AS movement FROM kept GROUP BY 1, 2""")
+(arg_max(score, year) - arg_min(score, year))::DECIMAL(28,2)::DOUBLE AS movement FROM kept GROUP BY 1, 2""")
 def trend_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = _trends(spark, sf_dir).groupBy("entity", "provider").agg(
         F.count("*").alias("points"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.min_by("score", "year").alias("first_score"), F.max_by("score", "year").alias("last_score")
@@ -288,7 +288,7 @@ def _boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("rank", R.rank_min(F.col("score"), ["subject"]))
 
 
-@query(f"""WITH {BOARDS} SELECT subject, edition, entity, score::DECIMAL(28,2) AS score, size, rank FROM boards WHERE rank <= 25""")
+@query(f"""WITH {BOARDS} SELECT subject, edition, entity, score::DECIMAL(28,2)::DOUBLE AS score, size, rank FROM boards WHERE rank <= 25""")
 def subject_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boards(spark, sf_dir).where("rank <= 25").select("subject", "edition", "entity", "score", "size", "rank")
 

@@ -205,7 +205,7 @@ def rollup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.rollup("provider", "status").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
 
 
-@query("""SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n, sum(CAST(value AS DECIMAL(18,2)))::DECIMAL(28,2) AS total FROM events GROUP BY 1, 2""")
+@query("""SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n, sum(CAST(value AS DECIMAL(18,2)))::DECIMAL(28,2)::DOUBLE AS total FROM events GROUP BY 1, 2""")
 def windowed_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from podium.streaming import windowed_counts
 
