@@ -211,7 +211,8 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     kept = materialise(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
     id_type = docs.schema["doc_id"].dataType
     ids = lambda rows: kept.where(rows).select(F.col("doc_id").cast(id_type))
-    once = docs.join(ids("count = 1"), "doc_id", "left_semi")
+    # always a shuffled join: the ids grow with the corpus, and small runs should behave like large ones
+    once = docs.join(ids("count = 1").hint("merge"), "doc_id", "left_semi")
     again = docs.join(ids("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(docs.columns)
 
