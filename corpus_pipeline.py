@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium.llm import decontaminate, packing, quality, secrets, simhash
+from podium.llm import decontaminate, near_copies, packing, quality, secrets
 from podium.llm.common import materialise, table
 
 
@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id."""
-    return simhash.one_per_group(docs)
+    """One document of each group of near copies (5-word similarity 0.8 or more) stays, that with the smallest doc_id."""
+    return near_copies.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,11 +40,11 @@ LEAST_LEVELS, MOST_LEVELS = 6, 24
 PAGE = 64
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Of UTF-8 bytes, unsigned."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Of UTF-8 bytes, unsigned, one a place; a shorter text is one shingle, a wordless text has none."""
     words = text.lower().split()  # bytes: only A-Z, only \x20 and \x09-\x0D
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
     else:
@@ -53,7 +53,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         starts = [0, *ends[: len(words) - shingle].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())]
-    values = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """Of UTF-8 bytes, unsigned."""
+    values = shingle_hashes(text, shingle)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(values), 65536):
         part = values[at : at + 65536].view(np.uint8).reshape(-1, 8)
@@ -202,21 +207,6 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with their columns.
-
-    Rows without a doc_id stay; of rows that repeat both doc_id and text one stays.
-    """
-    found = near_duplicates(docs.where("doc_id is not null"))
-    kept = materialise(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    id_type = docs.schema["doc_id"].dataType
-    ids = lambda rows: kept.where(rows).select(F.col("doc_id").cast(id_type))
-    # always a shuffled join: the ids grow with the corpus, and small runs should behave like large ones
-    once = docs.join(ids("count = 1").hint("merge"), "doc_id", "left_semi")
-    again = docs.join(ids("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(docs.columns)
-
-
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
