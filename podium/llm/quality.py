@@ -8,9 +8,10 @@
 3. The posterior of a document's pattern is its label, if EM is sure of it (``CONFIDENT``):
    where given labels show a pattern to be mixed, only its labelled documents teach.  A linear scorer over hashed
    words, word beginnings and shape features is trained on a bounded sample of
-   documents, ``sample_rows`` at most, drawn by hash; documents with a given label come
-   first.  Training is L1-regularised logistic regression, so that rare decisive words
-   keep their weight and common words lose theirs.
+   documents, ``sample_rows`` at most, drawn by hash; half of either side has no given
+   label, so that the posteriors teach at every size of the table.  Training is
+   L1-regularised logistic regression, so that rare decisive words keep their weight and
+   common words lose theirs.
 4. Every document's whole text is scored; a document is kept when its score is at least
    ``THRESHOLD``.
 
@@ -24,10 +25,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,6 +166,23 @@ def train_scorer(rows: list[np.ndarray], target: np.ndarray, bits: int = BITS, l
     return weight, bias
 
 
+def draw(voted: DataFrame, sides: list[Column], rows: int) -> list[tuple[int, int, str]]:
+    """(doc_id, key, pattern), at most ``rows`` a side, by hash.
+
+    Half of a side has no given label; where one kind is short, the other fills up.
+    """
+    order = [F.xxhash64("key", "doc_id"), "doc_id", "pattern"]
+    known = voted.where("doc_id is not null")
+    parts = [known.where(side & (F.col("given").isNotNull() == given)).orderBy(*order).limit(rows).withColumn("part", F.lit(2 * k + given)) for k, side in enumerate(sides) for given in (False, True)]
+    found = reduce(DataFrame.union, parts).select("part", "doc_id", "key", "pattern", order[0].alias("hash")).collect()
+    held = [sorted((r["hash"], r["doc_id"], r["pattern"], r["key"]) for r in found if r["part"] == part) for part in range(len(parts))]
+    out = []
+    for free, given in zip(held[::2], held[1::2]):
+        n = max(rows - rows // 2, rows - len(given))
+        out += [*free[:n], *given[: rows - min(n, len(free))]]
+    return [(doc_id, key, pattern) for _, doc_id, pattern, key in out]
+
+
 def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """The scorer's weights and bias.  ``labels`` has doc_id, quality, toxic."""
     voted = materialise(vote_table(docs), "votes")
@@ -179,12 +198,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
     _, _, posterior = fit_labellers(counts)
     sure = {p: g for p, g in posterior.items() if min(g, 1 - g) <= CONFIDENT} or posterior
-    # half of the sample for either side, so that rare defects are learnt; labelled documents first
+    # half of the sample for either side, so that rare defects are learnt
     sides = [F.col("pattern").isin([p for p, g in sure.items() if (g >= 0.5) == side]) for side in (False, True)]
-    order = [F.col("given").isNull(), F.xxhash64("key", "doc_id"), "doc_id"]
-    drawn = [voted.where(side).orderBy(*order).limit(sample_rows // 2) for side in sides]
-    chosen = drawn[0].union(drawn[1]).where("doc_id is not null").dropDuplicates(["doc_id"])
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id", "pattern")), "doc_id")
+    drawn = {doc_id: pattern for doc_id, _, pattern in draw(voted, sides, sample_rows // 2)}
+    chosen = docs.sparkSession.createDataFrame(sorted(drawn.items()), "doc_id long, pattern string")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
