@@ -172,7 +172,7 @@ def draw(voted: DataFrame, sides: list[Column], rows: int) -> list[tuple[int, in
     Half of a side has no given label; where one kind is short, the other fills up.
     """
     order = [F.xxhash64("key", "doc_id"), "doc_id", "pattern"]
-    known = voted.where("doc_id is not null")
+    known = voted.where("doc_id is not null").groupBy("doc_id", "key", "pattern", "given").agg(F.lit(1))  # a row however often it is repeated
     parts = [known.where(side & (F.col("given").isNotNull() == given)).orderBy(*order).limit(rows).withColumn("part", F.lit(2 * k + given)) for k, side in enumerate(sides) for given in (False, True)]
     found = reduce(DataFrame.union, parts).select("part", "doc_id", "key", "pattern", order[0].alias("hash")).collect()
     held = [sorted((r["hash"], r["doc_id"], r["pattern"], r["key"]) for r in found if r["part"] == part) for part in range(len(parts))]
@@ -183,6 +183,19 @@ def draw(voted: DataFrame, sides: list[Column], rows: int) -> list[tuple[int, in
     return [(doc_id, key, pattern) for _, doc_id, pattern, key in out]
 
 
+def drawn_features(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id, pattern, x (features), a row for each of ``chosen``, on however many rows of ``docs`` it stands."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.crc32("text"))
+    picked = keyed.join(F.broadcast(chosen), ["doc_id", "key"]).groupBy("doc_id", "key", "pattern").agg(F.min("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(t).astype(np.int32).tobytes() for t in texts(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "pattern", "x"])
+
+    return picked.select("doc_id", "text", "pattern").mapInArrow(run, "doc_id long, pattern string, x binary")
+
+
 def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """The scorer's weights and bias.  ``labels`` has doc_id, quality, toxic."""
     voted = materialise(vote_table(docs), "votes")
@@ -200,16 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
     sure = {p: g for p, g in posterior.items() if min(g, 1 - g) <= CONFIDENT} or posterior
     # half of the sample for either side, so that rare defects are learnt
     sides = [F.col("pattern").isin([p for p, g in sure.items() if (g >= 0.5) == side]) for side in (False, True)]
-    drawn = {doc_id: pattern for doc_id, _, pattern in draw(voted, sides, sample_rows // 2)}
-    chosen = docs.sparkSession.createDataFrame(sorted(drawn.items()), "doc_id long, pattern string")
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t).astype(np.int32).tobytes() for t in texts(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "pattern", "x"])
-
-    sample = picked.select("doc_id", "text", "pattern").mapInArrow(run, "doc_id long, pattern string, x binary").collect()
+    chosen = docs.sparkSession.createDataFrame(draw(voted, sides, sample_rows // 2), "doc_id long, key long, pattern string")
+    sample = drawn_features(docs, chosen).collect()
     sample.sort(key=lambda r: (r["doc_id"], r["pattern"], r["x"]))
     rows = [np.frombuffer(r["x"], np.int32) for r in sample]
     target = np.array([posterior[r["pattern"]] for r in sample])

@@ -1,3 +1,6 @@
+import zlib
+
+import numpy as np
 from podium.llm import quality
 from pyspark.sql import functions as F
 
@@ -16,3 +19,17 @@ def test_unlabelled_documents_teach_at_every_size(spark):
             assert sum(given[d] is None for d in mine) == free
     few = quality.draw(voted.where("given is not null"), sides, 100)
     assert len(few) == 200
+
+
+def test_repeated_rows_come_once_to_the_driver(spark, monkeypatch):
+    texts = [f"plain words number w{i} that say a little of this and that é" for i in range(30)] + ["|" * 40 + f" !! {i}" for i in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7])] * 300 + [(7, f"another text w{i} of the same doc_id") for i in range(300)] + [(8, None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "train_scorer", lambda rows, target: seen.append((len(rows), len(target))))
+    quality.fit(docs, None, 40)
+    assert seen[0][0] == seen[0][1] <= 40
+    chosen = spark.createDataFrame([(7, zlib.crc32(texts[7].encode()), "1"), (8, 0, "0"), (40, zlib.crc32(texts[40].encode()), "0")], "doc_id long, key long, pattern string")
+    found = {r.doc_id: r for r in quality.drawn_features(docs, chosen).collect()}
+    assert len(found) == quality.drawn_features(docs, chosen).count() == 3
+    assert sorted(np.frombuffer(found[7].x, np.int32)) == sorted(quality.features(texts[7]))
