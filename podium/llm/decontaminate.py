@@ -3,7 +3,8 @@
 Words become template tokens: a number is ``<num>``, a unit after a number ``<unit>``, a
 capitalised word ``<name>``, any other word its lower case.  Windows of five tokens are
 hashed (64 bits of five 64-bit word hashes) and joined with the benchmark's.  A template window needs ``MIN_LITERALS`` plain
-words; besides, every window has a literal key (lower-case words), so that a passage is
+words: one with fewer is lengthened, forwards and backwards, until it holds them (at most
+to the length of the benchmark's longest).  Besides, every window has a literal key (lower-case words), so that a passage is
 found whatever its case.
 
 Matched windows of a document and an item on one diagonal form an alignment.  In it each
@@ -65,15 +66,39 @@ def tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("raw", raw).withColumn("told", F.transform("raw", coded))
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """A row a window and key: ``at`` (from 1), ``template``, ``hash``.  Windows' rows keep the columns of ``df``."""
+def keyed(df: DataFrame, longest: int | None = None) -> DataFrame:
+    """A row a window and key: ``at`` (from 1), ``template``, ``hash``, and the words ``first``, ``length`` that it hashes.
+
+    Windows' rows keep the columns of ``df``.  Windows longer than ``longest`` have no key.
+    """
+    df = df.withColumn("codes", F.col("told")["c"]).withColumn("plain", F.transform("told", lambda w: (w["c"] == w["l"]).cast("int")))
+    df = df.withColumn("back", F.reverse("plain"))
     places = F.when(F.size("raw") >= WINDOW, F.sequence(F.lit(1), F.size("raw") - WINDOW + 1))
     rows = df.select("*", F.explode(places).alias("at"))
     word = [F.element_at("told", F.col("at") + k) for k in range(WINDOW)]
     slots = sum((w["c"] != w["l"]).cast("int") for w in word)
-    template = F.when(slots.between(1, WINDOW - MIN_LITERALS), F.xxhash64(*[w["c"] for w in word]))
-    both = F.stack(F.lit(2), F.lit(False), F.xxhash64(*[w["l"] for w in word]), F.lit(True), template)
-    return rows.select("*", both.alias("template", "hash")).where("hash is not null")
+    dense = slots > WINDOW - MIN_LITERALS
+    most = F.lit(longest) if longest else F.size("raw")
+
+    def reach(marks: str, start: Column) -> Column:
+        """Words from ``start`` on until MIN_LITERALS plain ones are among them, null where they are not to be had."""
+        length = F.lit(0)
+        for _ in range(MIN_LITERALS):
+            step = F.array_position(F.slice(marks, start + length, F.greatest(most - length, F.lit(0))), F.lit(1)).cast("int")
+            length = length + F.when(step > 0, step)
+        return F.when(dense, length)
+
+    rows = rows.withColumn("ahead", reach("plain", F.col("at"))).withColumn("behind", reach("back", F.size("raw") - F.col("at") - (WINDOW - 2)))
+    start = F.col("at") + WINDOW - F.col("behind")
+    template = F.when(slots.between(1, WINDOW - MIN_LITERALS), F.xxhash64(*[w["c"] for w in word])).when(F.col("ahead").isNotNull(), F.xxhash64(F.slice("codes", F.col("at"), F.col("ahead"))))
+    backward = F.when(F.col("behind").isNotNull(), F.xxhash64(F.lit(-1), F.slice("codes", start, F.col("behind"))))
+    keys = F.stack(
+        F.lit(3),
+        F.lit(False), F.xxhash64(*[w["l"] for w in word]), F.col("at"), F.lit(WINDOW),
+        F.lit(True), template, F.col("at"), F.coalesce("ahead", F.lit(WINDOW)),
+        F.lit(True), backward, start, F.col("behind"),
+    )
+    return rows.select("*", keys.alias("template", "hash", "first", "length")).where("hash is not null").drop("codes", "plain", "back", "ahead", "behind")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -81,11 +106,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = keyed(tokens(benchmark.select("item_id", "text").dropDuplicates()))
     items = items.select(
         "item_id", (F.size("raw") - WINDOW + 1).alias("windows"), F.col("at").alias("item_at"), "template", "hash",
-        F.slice("raw", F.col("at"), WINDOW).alias("item_raw"), F.slice("told", F.col("at"), WINDOW).alias("item_told"),
+        F.slice("raw", F.col("first"), F.col("length")).alias("item_raw"), F.slice("told", F.col("first"), F.col("length")).alias("item_told"),
     )
-    told = keyed(tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")).drop("text"))
+    longest = items.agg(F.max(F.size("item_raw")).alias("n")).first()["n"] or WINDOW
+    told = keyed(tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")).drop("text"), longest)
     met = told.join(bounded(items, MOST_BROADCAST), ["template", "hash"])
-    here = F.slice("raw", F.col("at"), WINDOW)
+    here = F.slice("raw", F.col("first"), F.col("length"))
     kind = lambda i: F.element_at("item_told", i + 1)
     slot = lambda word, i: F.when(kind(i)["c"] != kind(i)["l"], F.struct(kind(i)["c"].alias("kind"), word.alias("asked"), F.element_at(here, i + 1).alias("said")))
     slots = F.when(F.col("template"), F.filter(F.transform("item_raw", slot), lambda x: x.isNotNull()))
