@@ -101,6 +101,12 @@ def keyed(df: DataFrame, longest: int | None = None) -> DataFrame:
     return rows.select("*", keys.alias("template", "hash", "first", "length")).where("hash is not null").drop("codes", "plain", "back", "ahead", "behind")
 
 
+def places(docs: DataFrame, longest: int) -> DataFrame:
+    """doc_id, template, hash, at, here (the window's own words): rows of bounded size, fit for a shuffle."""
+    rows = keyed(tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")).drop("text"), longest)
+    return rows.select("doc_id", "template", "hash", "at", F.slice("raw", F.col("first"), F.col("length")).alias("here"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, matched, windows, verbatim: one row per leaked item of a document."""
     items = keyed(tokens(benchmark.select("item_id", "text").dropDuplicates()))
@@ -109,9 +115,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.slice("raw", F.col("first"), F.col("length")).alias("item_raw"), F.slice("told", F.col("first"), F.col("length")).alias("item_told"),
     )
     longest = items.agg(F.max(F.size("item_raw")).alias("n")).first()["n"] or WINDOW
-    told = keyed(tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")).drop("text"), longest)
-    met = told.join(bounded(items, MOST_BROADCAST), ["template", "hash"])
-    here = F.slice("raw", F.col("first"), F.col("length"))
+    met = places(docs, longest).join(bounded(items, MOST_BROADCAST), ["template", "hash"])
+    here = F.col("here")
     kind = lambda i: F.element_at("item_told", i + 1)
     slot = lambda word, i: F.when(kind(i)["c"] != kind(i)["l"], F.struct(kind(i)["c"].alias("kind"), word.alias("asked"), F.element_at(here, i + 1).alias("said")))
     slots = F.when(F.col("template"), F.filter(F.transform("item_raw", slot), lambda x: x.isNotNull()))

@@ -19,3 +19,13 @@ def test_slot_dense_items(spark):
     assert not {d for d, _ in got} & {14, 15, 16, 17}
     assert got[11, 1].verbatim and got[13, 2].verbatim and not got[10, 1].verbatim and not got[12, 2].verbatim
     assert all(r.matched <= r.windows for r in got.values())
+
+
+def test_shuffled_windows_carry_their_own_words_only(spark, monkeypatch):
+    bench = spark.createDataFrame([(1, ITEM), (2, LONG)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{LONG} and {ITEM}"), (2, "plain " * 500)], "doc_id long, text string")
+    rows = decontaminate.places(docs, 9).collect()
+    assert set(rows[0].asDict()) == {"doc_id", "template", "hash", "at", "here"} and max(len(r.here) for r in rows) <= 9
+    want = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    assert sorted(map(tuple, decontaminate.leaks(docs, bench).collect())) == want and len(want) == 2
