@@ -16,7 +16,7 @@ from podium.llm.common import materialise, table
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    return quality.keep(docs, table(spark, sf_dir, "labels")).select(docs.columns)
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

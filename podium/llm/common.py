@@ -17,8 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset and Spark is one local process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not folder:
         folder = getattr(shared_dir, "own", None)
         if folder is None:
@@ -26,20 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which goes when the session ends."""
+    path = f"{shared_dir(spark)}/podium-{uuid.uuid4().hex}/{name}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: a lost executor takes nothing with it, because the rows
-    are in the shared store under Spark's commit protocol.  The folder goes when
-    the session ends.
+    are in the shared store under Spark's commit protocol.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/podium-{uuid.uuid4().hex}/{name}"
+    path = shared_path(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -50,6 +55,26 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+#: A key with more rows than this, and than one row in as many, is hot: there are at most so many hot keys.
+HOT_ROWS = 1000
+
+
+def looked_up(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``lookup``, which has one row a key; rows of keys that it lacks go.
+
+    Rows of hot keys would meet in one task, so they meet a broadcast instead: at most
+    ``HOT_ROWS`` keys can have more than one row in ``HOT_ROWS`` each.  The others shuffle.
+    """
+    counts = rows.groupBy(key).count()
+    total = rows.count()
+    hot = counts.where(F.col("count") > max(HOT_ROWS, total / HOT_ROWS)).select(key)
+    names = [r[0] for r in hot.collect()] if total > HOT_ROWS else []  # HOT_ROWS at most
+    if not names:
+        return rows.join(lookup, key)
+    is_hot = F.col(key).isin(names)
+    return rows.where(~is_hot).join(lookup.where(~is_hot), key).unionByName(rows.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key))
+
+
 def ascii_lower(column):
     """Lower-case A-Z only, code point for code point."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

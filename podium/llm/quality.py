@@ -17,7 +17,8 @@
 
 Defined results: a null or wordless text scores by its shape alone (no words: rejected);
 repeated rows are scored each; a null doc_id has no given label and is scored all the
-same; an empty table gives an empty result; other columns pass through ``keep``.
+same; an empty table gives an empty result; other columns pass through ``keep`` and ``kept``, the
+latter whatever their names; without labels, or with none for these documents, EM alone teaches.
 """
 
 from __future__ import annotations
@@ -133,6 +134,7 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 60) -> tuple[float, np
     fixed = np.where(given == 2, np.nan, given)
     post = np.where(np.isnan(fixed), np.where((coded == BAD).any(axis=1), 0.05, 0.95), fixed)
     onehot = np.eye(3)[coded]
+    share, accuracy = 0.5, np.zeros((0, 2, 3))
     for _ in range(rounds):
         weight = np.stack([count * (1 - post), count * post])
         share = (weight[1].sum() + 1) / (count.sum() + 2)
@@ -146,7 +148,7 @@ def fit_labellers(patterns: dict[str, int], rounds: int = 60) -> tuple[float, np
     return float(share), accuracy, dict(zip(names, post.tolist()))
 
 
-def train_scorer(rows: list[np.ndarray], target: np.ndarray, bits: int = BITS, l1: float = 0.06) -> tuple[np.ndarray, float]:
+def train_scorer(rows: list[np.ndarray], target: np.ndarray, bits: int = BITS, l1: float = 0.03) -> tuple[np.ndarray, float]:
     """Weights and bias: proximal (L1) stochastic gradient with per-weight rates, a fixed order."""
     often = np.bincount(np.concatenate(rows) if rows else np.zeros(0, np.int64), minlength=1 << bits) >= LEAST_DOCS
     rows = [x[often[x]] for x in rows]
@@ -167,12 +169,12 @@ def train_scorer(rows: list[np.ndarray], target: np.ndarray, bits: int = BITS, l
 
 
 def draw(voted: DataFrame, sides: list[Column], rows: int) -> list[tuple[int, int, str]]:
-    """(doc_id, key, pattern), at most ``rows`` a side, by hash.
+    """(doc_id, key, pattern), at most ``rows`` a side, by hash, of distinct rows.
 
     Half of a side has no given label; where one kind is short, the other fills up.
     """
     order = [F.xxhash64("key", "doc_id"), "doc_id", "pattern"]
-    known = voted.where("doc_id is not null").groupBy("doc_id", "key", "pattern", "given").agg(F.lit(1))  # a row however often it is repeated
+    known = voted.where("doc_id is not null")
     parts = [known.where(side & (F.col("given").isNotNull() == given)).orderBy(*order).limit(rows).withColumn("part", F.lit(2 * k + given)) for k, side in enumerate(sides) for given in (False, True)]
     found = reduce(DataFrame.union, parts).select("part", "doc_id", "key", "pattern", order[0].alias("hash")).collect()
     held = [sorted((r["hash"], r["doc_id"], r["pattern"], r["key"]) for r in found if r["part"] == part) for part in range(len(parts))]
@@ -198,17 +200,18 @@ def drawn_features(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """The scorer's weights and bias.  ``labels`` has doc_id, quality, toxic."""
-    voted = materialise(vote_table(docs), "votes")
+    # a row that is repeated is one row with a count from here on
+    known = materialise(vote_table(docs).groupBy("doc_id", "key", "pattern").count(), "votes")
     if labels is not None:
         good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
             F.min(((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).cast("int")).alias("given")
         )
-        voted = voted.join(good, "doc_id", "left")
+        known = known.join(good, "doc_id", "left")
     else:
-        voted = voted.withColumn("given", F.lit(None).cast("int"))
+        known = known.withColumn("given", F.lit(None).cast("int"))
     mark = F.when(F.col("given").isNull(), "-").otherwise(F.col("given").cast("string"))
-    voted = voted.withColumn("pattern", F.concat("pattern", mark))
-    counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}
+    voted = materialise(known.withColumn("pattern", F.concat("pattern", mark)), "marked")
+    counts = {r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.sum("count").alias("n")).collect()}
     _, _, posterior = fit_labellers(counts)
     sure = {p: g for p, g in posterior.items() if min(g, 1 - g) <= CONFIDENT} or posterior
     # half of the sample for either side, so that rare defects are learnt
@@ -221,9 +224,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAM
     return train_scorer(rows, target)
 
 
-def scored(docs: DataFrame, weight: np.ndarray, bias: float) -> DataFrame:
-    """All columns of ``docs`` and ``_score``, the scorer's probability that a document is good (an older ``_score`` goes)."""
-    docs = docs.drop("_score")
+def scored(docs: DataFrame, weight: np.ndarray, bias: float, column: str = "_score") -> DataFrame:
+    """All columns of ``docs`` and ``column``, the scorer's probability that a document is good (an older one of that name goes)."""
+    docs = docs.drop(column)
     used = np.flatnonzero(weight)
     model = docs.sparkSession.sparkContext.broadcast((used.astype(np.int32), weight[used].astype(np.float32), bias))
     size = len(weight)
@@ -234,14 +237,22 @@ def scored(docs: DataFrame, weight: np.ndarray, bias: float) -> DataFrame:
         dense[at] = values
         for batch in batches:
             found = [1 / (1 + np.exp(-np.clip(dense[features(t)].sum() + b, -30, 30))) if t.strip() else 0.0 for t in texts(batch, "text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
-def keep(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with their columns and ``_score``."""
-    return scored(docs, *fit(docs, labels)).where(F.col("_score") >= THRESHOLD)
+def keep(docs: DataFrame, labels: DataFrame | None = None, column: str = "_score") -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, with their columns and the score, ``column``."""
+    return scored(docs, *fit(docs, labels), column).where(F.col(column) >= THRESHOLD)
+
+
+def kept(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts with their own columns only, whatever their names."""
+    column = "_score"
+    while column.lower() in [c.lower() for c in docs.columns]:
+        column += "_"
+    return keep(docs, labels, column).drop(column)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

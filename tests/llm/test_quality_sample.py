@@ -33,3 +33,18 @@ def test_repeated_rows_come_once_to_the_driver(spark, monkeypatch):
     found = {r.doc_id: r for r in quality.drawn_features(docs, chosen).collect()}
     assert len(found) == quality.drawn_features(docs, chosen).count() == 3
     assert sorted(np.frombuffer(found[7].x, np.int32)) == sorted(quality.features(texts[7]))
+
+
+def test_em_teaches_the_scorer(spark, monkeypatch):
+    """The same documents and labels, with the first guess in place of EM, give other targets and other weights."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    targets = []
+    plain = quality.train_scorer
+    monkeypatch.setattr(quality, "train_scorer", lambda rows, target: targets.append(target) or plain(rows, target))
+    weight, _ = quality.fit(docs, labels)
+    assert any(0 < t < 1 for t in targets[0])  # posteriors of documents without a given label
+    fitted = quality.fit_labellers
+    monkeypatch.setattr(quality, "fit_labellers", lambda counts: fitted(counts, rounds=0))
+    guessed, _ = quality.fit(docs, labels)
+    assert not np.array_equal(weight, guessed)
