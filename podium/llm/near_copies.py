@@ -15,8 +15,11 @@ Equal sets are one node from the start.  Nodes that share a shingle are first co
 with the least node of that shingle; after that only nodes of different groups meet, so
 a large group costs rows in proportion to its size.
 
-Defined results: wordless texts have the empty set and are alike; a text of fewer words
-is one shingle; null doc_ids take no part in naming a group.
+Defined results: null and wordless texts have the empty set and are alike; a text of
+fewer words is one shingle; rows without a doc_id link like others but name a group only
+where no row of it has one; repeated rows and rows that share a doc_id are rows of their
+own, of which ``one_per_group`` leaves one a group; an empty table gives an empty result;
+other columns pass through.
 """
 
 from __future__ import annotations
@@ -27,14 +30,16 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import map_batches, materialise, utf8
+from podium.llm.common import bounded, looked_up, map_batches, materialise, utf8
 from podium.llm.simhash import SEED, components, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
+#: Rows (of two longs) whose sets are compared are broadcast up to this many, else shuffled.
+MOST_BROADCAST = 500_000
 #: Documents whose shingles are counted, and the count from which one comes last in the order.
 SAMPLE_ROWS, FREQUENT = 20_000, 4
 
@@ -49,6 +54,11 @@ def alike(x: np.ndarray, y: np.ndarray, similarity: Fraction = SIMILARITY) -> bo
     return both * (similarity.numerator + similarity.denominator) >= similarity.numerator * (len(x) + len(y))
 
 
+def text_hash(text: Column) -> Column:
+    """With doc_id it tells rows apart: 64 bits, within one doc_id only."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _node(values: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(values.tobytes(), SEED)
 
@@ -67,7 +77,7 @@ def frequent(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """doc_id, node (hash of the whole set), n (its size), prefix (the shingles that similar sets must share one of)."""
+    """doc_id, of (a hash of the text), node (hash of the whole set), n (its size), prefix (the shingles that similar sets must share one of)."""
     last = docs.sparkSession.sparkContext.broadcast(frequent(docs, shingle))
     p, q = similarity.numerator, similarity.denominator
 
@@ -79,10 +89,11 @@ def prefixes(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
             nodes.append(_node(values))
             sizes.append(len(values))
             heads.append(np.concatenate([values[~late], values[late]])[: len(values) - -(-len(values) * p // q) + 1].view(np.int64))
-        columns = [batch.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "prefix"])
+        columns = [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "of", "node", "n", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(map_batches(run), "doc_id long, node long, n int, prefix array<long>")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", text_hash(F.col("text")).alias("of"))
+    return rows.mapInArrow(map_batches(run), "doc_id long, of long, node long, n int, prefix array<long>")
 
 
 def _possible(a: str, b: str, similarity: Fraction) -> F.Column:
@@ -95,14 +106,14 @@ def _possible(a: str, b: str, similarity: Fraction) -> F.Column:
 def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are similar."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = distinct.join(wanted, "node").select(F.col("doc_id").alias("__id"))
+    ids = distinct.join(wanted, "node").select(F.col("who.doc_id").alias("__id"), F.col("who.of").alias("__of"))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingles(text, shingle) for text in utf8(batch, "text")]
         nodes = np.array([_node(x) for x in found], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "whole"])
 
-    rows = docs.join(ids, docs["doc_id"].cast("long") == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    rows = docs.select("doc_id", "text").join(bounded(ids, MOST_BROADCAST), _same_row(docs), "left_semi")
     sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
     held = pairs.join(sets.select(F.col("node").alias("a"), F.col("whole").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("whole").alias("y")), "b")
 
@@ -114,10 +125,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
     return materialise(held.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """doc_id, component_id (the least doc_id of the group) for every row of ``docs``."""
+def _same_row(docs: DataFrame) -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash(docs["text"]) == F.col("__of"))
+
+
+def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, of, node), and for each node the ``first`` row of its group, a struct<nameless, doc_id, of>."""
     rows = materialise(prefixes(docs, shingle, similarity), "prefixes")
-    distinct = materialise(rows.groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.min_by("prefix", "doc_id").alias("prefix")), "distinct")
+    who = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "of")
+    distinct = materialise(rows.groupBy("node", "n").agg(F.min(who).alias("who"), F.min_by("prefix", who).alias("prefix")), "distinct")
     keys = distinct.select("node", "n", F.posexplode("prefix").alias("at", "key"))
     of_key = Window.partitionBy("key")
     least = F.min(F.struct("node", "n", "at")).over(of_key)
@@ -132,22 +148,26 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMIL
     met = still.alias("l").join(still.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.root") != F.col("r.root")) & _possible("l", "r", similarity))
     more = materialise(met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
     roots = components(links.union(_confirmed(more, docs, distinct, shingle, similarity)))
-    named = distinct.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = named.join(first, "root").select("node", "component_id")
-    return rows.select("doc_id", "node").join(of_node, "node").select("doc_id", "component_id")
-
-
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their group, with their columns.
-
-    Rows without a doc_id stay; of rows that repeat both doc_id and text one stays.
-    """
-    found = groups(docs.where("doc_id is not null"))
-    kept = materialise(found.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    id_type = docs.schema["doc_id"].dataType
-    ids = lambda rows: kept.where(rows).select(F.col("doc_id").cast(id_type))
-    # always a shuffled join: the ids grow with the corpus, and small runs should behave like large ones
-    once = docs.join(ids("count = 1").hint("merge"), "doc_id", "left_semi")
-    again = docs.join(ids("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    named = distinct.select("node", "who").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rows.select("doc_id", "of", "node"), looked_up(named.select("node", "root"), named.groupBy("root").agg(F.min("who").alias("first")), "root").select("node", "first")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """doc_id, component_id (the least doc_id of the group) for every row of ``docs``."""
+    rows, firsts = _grouped(docs, shingle, similarity)
+    return looked_up(rows, firsts, "node").select("doc_id", F.col("first.doc_id").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """The first row of each group (least doc_id, null last), with the columns of ``docs``."""
+    rows, firsts = _grouped(docs, shingle, similarity)
+    first = firsts.select("first").distinct().select(F.col("first.doc_id").alias("__id"), F.col("first.of").alias("__of"))
+    kept = materialise(first, "kept")
+    # always a shuffled join: the kept rows grow with the corpus, and small runs should behave like large ones
+    found = docs.join(kept.hint("merge"), _same_row(docs), "left_semi")
+    times = rows.groupBy("doc_id", "of").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"))
+    again = materialise(times.join(kept, times["__id"].eqNullSafe(kept["__id"]) & (times["__of"] == kept["__of"]), "left_semi"), "repeated")
+    if again.isEmpty():
+        return found
+    lots = found.join(again, _same_row(docs), "left_semi").dropDuplicates(["doc_id", "text"])
+    return found.join(again, _same_row(docs), "left_anti").unionByName(lots)

@@ -1,6 +1,7 @@
 import random
 
-from podium.llm import near_copies, simhash
+from podium.llm import common, near_copies, simhash
+from pyspark.sql import functions as F
 
 
 def grams(text):
@@ -54,4 +55,22 @@ def test_copies_beyond_the_query_bits_go(spark):
     base, edited = " ".join(base), " ".join(edited)
     assert (simhash.fingerprint(base.encode()) ^ simhash.fingerprint(edited.encode())).bit_count() > simhash.MAX_BITS
     docs = spark.createDataFrame([(5, base), (3, edited), (None, base), (9, "plain words of another kind stand here")], "doc_id long, text string")
-    assert sorted(str(r.doc_id) for r in near_copies.one_per_group(docs).collect()) == ["3", "9", "None"]
+    assert sorted(str(r.doc_id) for r in near_copies.one_per_group(docs).collect()) == ["3", "9"]
+
+
+def test_rows_without_or_with_the_same_id(spark):
+    long = "some words of a text that stands here " * 3
+    rows = [(None, long, 1), (None, long, 2), (4, "x", 1), (4, "x", 1), (4, "another text", 3), (7, None, 1), (8, "", 2), (None, "alone here", 1), (6, "ALONE  here", 1)]
+    docs = spark.createDataFrame([(d, t, n, "clash") for d, t, n in rows], "doc_id long, text string, n int, node string")
+    out = near_copies.one_per_group(docs)
+    assert out.columns == docs.columns
+    assert sorted(str((r.doc_id, r.text)) for r in out.collect()) == sorted(map(str, [(None, long), (4, "x"), (4, "another text"), (7, None), (6, "ALONE  here")]))
+    assert near_copies.one_per_group(docs.where("false")).count() == 0
+
+
+def test_hot_keys_meet_a_broadcast(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") < 2500, F.lit(7)).otherwise(F.col("id")).cast("long").alias("key"))
+    lookup = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    got = common.looked_up(rows, lookup, "key")
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in got.collect()) == sorted((7 if i < 2500 else i, i, 14 if i < 2500 else 2 * i) for i in range(4000))
