@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.common import map_batches, materialise, table, utf8
+from podium.llm.common import looked_up, map_batches, materialise, table, utf8
 
 SHINGLE = 3
 SEED = 42
@@ -180,14 +180,14 @@ def components(links: DataFrame) -> DataFrame:
     labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "labels")
     while True:
         near = (
-            edges.join(labels, edges["b"] == labels["node"])
+            looked_up(edges, labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("near"))
         )
         stepped = labels.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("jumped"))
         moved = materialise(
-            stepped.join(jump, "next", "left").select("node", "was", F.least("next", "jumped").alias("root")), "labels"
+            looked_up(materialise(stepped, "stepped"), jump, "next").select("node", "was", F.least("next", "jumped").alias("root")), "labels"
         )
         labels = moved.select("node", "root")
         if moved.where("root <> was").isEmpty():
@@ -202,9 +202,9 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     roots = components(links)
     named = distinct.join(roots, distinct["fp"] == roots["node"])
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(least, "root").select("fp", "component_id")
+    linked = looked_up(named, least, "root").select("fp", "component_id")
     of_fp = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return looked_up(fps, of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,6 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import shared_dir, table, texts
+from podium.llm.common import shared_path, table, texts
 from podium.llm.tokens import encoder
 
 MAGIC = b"PS8B"
@@ -222,6 +221,6 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/podium-{uuid.uuid4().hex}/token_ids"
+    path = shared_path(spark, "token_ids")
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_ids(spark, path)
