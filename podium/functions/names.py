@@ -75,6 +75,33 @@ def normalize_name(name: Column) -> Column:
     return F.regexp_replace(words(ascii_fold(plain)), "^the ", "")
 
 
+def institution_name(name: Column) -> Column:
+    """A key for comparing an institution's names: marks folded, & is "and", words of ASCII letters and digits."""
+    return F.trim(F.regexp_replace(F.regexp_replace(fold(name), "&", " and "), "[^a-z0-9]+", " "))
+
+
+def searchable_names(name_list: Column, shortest: int = 8) -> Column:
+    """Folded names of at least ``shortest`` characters, longest first: what is looked for in a page's text."""
+    kept = F.filter(F.array_distinct(name_list), lambda n: F.length(n) >= shortest)
+    return F.transform(F.array_sort(F.transform(kept, lambda n: F.struct((-F.length(n)).alias("n"), n.alias("name")))), lambda s: s["name"])
+
+
+def subject_labels(df: DataFrame, scope: str, labels: DataFrame) -> DataFrame:
+    """Adds ``label``: what ``labels`` (scope, label) says, else the scope in title case without "field-"."""
+    known = labels.select(F.col("scope").alias("__scope"), F.col("label").alias("__label"))
+    plain = title_case(F.regexp_replace(scope, "^field-", ""))
+    return df.join(F.broadcast(known), F.col(scope) == F.col("__scope"), "left").withColumn("label", F.coalesce("__label", plain)).drop("__scope", "__label")
+
+
+#: How registries write their ids.
+IDS = {"openalex": r"\b(I[0-9]+)\b", "ror": r"(?:ror\.org/|^)(0[a-z0-9]{8})\b", "wikidata": r"\b(Q[0-9]+)\b"}
+
+
+def captured_id(text: Column, registry: str) -> Column:
+    found = F.regexp_extract(text, IDS[registry], 1)
+    return F.when(found != "", found)
+
+
 def with_aliases(df: DataFrame, key: str, aliases: DataFrame) -> DataFrame:
     """``key`` replaced by its canonical form where ``aliases`` (alias, canonical) has one."""
     out = df.join(aliases.select(F.col("alias").alias("__alias"), F.col("canonical").alias("__canonical")), df[key] == F.col("__alias"), "left")

@@ -34,6 +34,38 @@ def rank_display(display: Column) -> Column:
     return F.when(missing(display), F.lit("—")).when(whole, F.format_number(number.cast("long"), 0)).otherwise(F.trim(display))
 
 
+#: What publishers write for "no rank", in lower case.
+UNRANKED = ("", "-", "n/a", "na", "not ranked")
+
+
+def is_ranked(display: Column) -> Column:
+    return F.coalesce(~F.lower(F.trim(display)).isin(*UNRANKED), F.lit(False))
+
+
+def row_rank(*displays: Column, tied: Column | None = None) -> tuple[Column, Column]:
+    """(rank, display) of the first column with a rank; a dash without any.  ``tied`` marks the first one's rank as shared."""
+    shown = [rank_display(d) for d in displays]
+    if tied is not None:
+        shown[0] = F.when(F.lower(F.trim(tied.cast("string"))).isin("1", "true", "yes"), F.concat(F.lit("="), shown[0])).otherwise(shown[0])
+    row = F.coalesce(*[F.when(rank_number(d).isNotNull(), F.struct(rank_number(d).alias("rank"), s.alias("display"))) for d, s in zip(displays, shown)])
+    return row["rank"], F.coalesce(row["display"], F.lit("—"))
+
+
+def compact(value: Column) -> Column:
+    """1.2K, 3.4M, 5B: one decimal at most, none if it is zero."""
+    def scaled(size: float, unit: str) -> Column:
+        number = F.regexp_replace(F.format_string("%.1f", value / F.lit(size)), r"\.0$", "")
+        return F.concat(number, F.lit(unit))
+
+    return F.when(F.abs(value) >= 999.95e6, scaled(1e9, "B")).when(F.abs(value) >= 999.95e3, scaled(1e6, "M")).when(F.abs(value) >= 999.95, scaled(1e3, "K")).otherwise(scaled(1.0, ""))
+
+
+def on_scale(value: Column, least: Column, most: Column, log: bool = False) -> Column:
+    """A place from 0 to 1 on a linear or logarithmic axis; 0.5 on an axis without length."""
+    x, a, b = (F.log10(v) for v in (value, least, most)) if log else (value, least, most)
+    return F.when(b == a, F.lit(0.5)).otherwise((x - a) / (b - a))
+
+
 def half_even(value: Column, digits: int) -> Column:
     """Rounded half to even; what lies within ``TIE`` of a half in scaled space counts as a half."""
     scaled = value * F.lit(10.0**digits)

@@ -21,10 +21,17 @@ NZ NZL New Zealand;PE PER Peru;PL POL Poland;PT PRT Portugal;RO ROU Romania;RU R
 SG SGP Singapore;TH THA Thailand;TR TUR Turkey;TW TWN Taiwan;UA UKR Ukraine;US USA United States;VN VNM Vietnam;ZA ZAF South Africa"""
 ALIASES = """usa US;u s a US;united states of america US;uk GB;great britain GB;england GB;scotland GB;wales GB;korea KR
 republic of korea KR;korea south KR;russian federation RU;czech republic CZ;the netherlands NL;holland NL;viet nam VN
-hong kong sar HK;macau MO;mainland china CN;china mainland CN;turkiye TR;islamic republic of iran IR"""
+hong kong sar HK;macau MO;mainland china CN;china mainland CN;turkiye TR;islamic republic of iran IR
+uae AE;brunei BN;kosovo XK;xk XK;xkx XK;palestine PS;palestinian territories PS;palestinian territory PS;state of palestine PS;syria SY
+syrian arab republic SY;slovak republic SK;south korea KR;north korea KP;russia RU;turkey TR;taiwan TW;taiwan province of china TW
+macau sar MO;united kingdom uk GB;united states of america usa US;ivory coast CI;cote d ivoire CI;cote divoire CI;cape verde CV
+swaziland SZ;macedonia MK;east timor TL;burma MM;laos LA;moldova MD;bolivia BO;venezuela VE;tanzania TZ;micronesia FM;vietnam VN"""
+#: Names to show in place of the official English ones.
+DISPLAY = """BO Bolivia;BN Brunei;CN China;CZ Czechia;GB United Kingdom;HK Hong Kong;IR Iran;KR South Korea;MD Moldova;MO Macau;PS Palestine
+RU Russia;TW Taiwan;TZ Tanzania;US United States;VN Vietnam;XK Kosovo"""
 #: Territories that a country's registry may hold.
-TERRITORIES = {"CN": ("HK", "MO"), "GB": ("GG", "JE", "IM"), "US": ("PR", "GU", "VI"), "FR": ("GP", "MQ", "RE"), "DK": ("FO", "GL"), "NL": ("AW", "CW")}
-MULTINATIONAL = ("multinational", "international", "multiple countries")
+TERRITORIES = {"CN": ("HK", "MO"), "FR": ("GF", "GP", "MQ", "RE"), "NO": ("SJ",), "US": ("GU", "PR", "VI")}
+MULTINATIONAL = ("mul", "multinational")
 
 
 def country_dim(spark: SparkSession) -> DataFrame:
@@ -57,6 +64,27 @@ def with_country(df: DataFrame, raw: str, keys: DataFrame, code: str = "country_
     return joined.drop("__key")
 
 
+def country_labels(spark: SparkSession, dim: DataFrame | None = None) -> DataFrame:
+    """code → label: what ``DISPLAY`` says, else the English name."""
+    dim = country_dim(spark) if dim is None else dim
+    shown = spark.createDataFrame([tuple(x.split(" ", 1)) for line in DISPLAY.splitlines() for x in line.split(";")], "alpha2 string, shown string")
+    return dim.join(shown, "alpha2", "full").select(F.col("alpha2").alias("code"), F.coalesce("shown", "name").alias("label"))
+
+
+def row_country(df: DataFrame, columns: list[str], keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds country_code and country: of the first of ``columns`` that resolves; else no code and the fallback
+    label of the first one that is not blank.  A small broadcast join for each column."""
+    there = [c for c in columns if c in df.columns]
+    out, codes = df, []
+    for k, c in enumerate(there):
+        out = with_country(out, c, keys, f"__code{k}")
+        codes.append(F.col(f"__code{k}"))
+    blank_is_null = [F.when(F.trim(c) != "", F.col(c)) for c in there]
+    out = out.withColumn("country_code", F.coalesce(*codes)).drop(*[f"__code{k}" for k in range(len(there))])
+    named = out.join(F.broadcast(labels.select(F.col("code").alias("country_code"), F.col("label").alias("__label"))), "country_code", "left")
+    return named.withColumn("country", F.coalesce("__label", fallback_label(F.coalesce(*blank_is_null)))).select(*df.columns, "country_code", "country")
+
+
 def fallback_label(raw: Column) -> Column:
     """What to show where no code resolves."""
     text = F.trim(raw)

@@ -7,8 +7,8 @@ a brand.
 
 from __future__ import annotations
 
-from podium.plans import documents, facts, rankings, tables
+from podium.plans import documents, facts, ingest, merges, rankings, tables
 
-MODULES = (rankings, tables, facts, documents)
+MODULES = (rankings, tables, facts, documents, merges, ingest)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

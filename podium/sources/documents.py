@@ -6,15 +6,16 @@ Formats with a grammar of their own are parsed in Arrow batches; the rest is bui
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.names import decode_entities, plain_text, slug
-from podium.functions.numbers import rank_number
+from podium.functions.numbers import rank_number, share_number
 from podium.operators.relational import segments
 
 #: Sitemaps name at most this many pages (the sitemap protocol allows 50,000 a file).
@@ -95,16 +96,33 @@ def markdown_rows(documents: DataFrame, text: str) -> DataFrame:
 
 
 def markdown_ranking(documents: DataFrame, text: str) -> DataFrame:
-    """rank, name and url of numbered lists ("3. [Name](url)") and of pipe tables that begin with a rank."""
+    """rank, name, url and metrics (array of doubles) of numbered lists ("3. [Name](url)") and of pipe tables that begin
+    with a rank; a table's further cells are its metrics."""
+    keys = [c for c in documents.columns if c != text]
     listed = F.regexp_extract_all(text, F.lit(r"(?m)^\s*\d+[.)]\s+\[[^\]]+\]\([^)]*\)"), F.lit(0))
-    rows = documents.select(*[c for c in documents.columns if c != text], F.explode(listed).alias("item"))
+    rows = documents.select(*keys, F.explode(listed).alias("item"))
     pattern = r"^\s*(\d+)[.)]\s+\[([^\]]+)\]\(([^)]*)\)"
-    first = rows.select("*", *[F.regexp_extract("item", pattern, k).alias(n) for k, n in ((1, "rank"), (2, "name"), (3, "url"))]).drop("item")
+    none = F.lit(None).cast("array<double>")
+    first = rows.select("*", *[F.regexp_extract("item", pattern, k).alias(n) for k, n in ((1, "rank"), (2, "name"), (3, "url"))], none.alias("metrics")).drop("item")
     table = markdown_rows(documents, text).where(F.get("cells", F.lit(0)).rlike(r"^=?\d"))
-    second = table.select(*[c for c in documents.columns if c != text], F.get("cells", F.lit(0)).alias("rank"), F.get("cells", F.lit(1)).alias("name"), F.lit(None).cast("string").alias("url"))
+    name = F.get("cells", F.lit(1))
+    link = r"^\[([^\]]+)\]\(([^)]*)\)$"
+    metrics = F.transform(F.slice("cells", 3, F.greatest(F.size("cells") - 2, F.lit(0))), share_number)
+    second = table.select(
+        *keys, F.get("cells", F.lit(0)).alias("rank"), F.when(name.rlike(link), F.regexp_extract(name, link, 1)).otherwise(name).alias("name"),
+        F.when(name.rlike(link), F.regexp_extract(name, link, 2)).alias("url"), metrics.alias("metrics"),
+    )
     return first.unionByName(second).withColumn("rank", rank_number(F.col("rank")))
 
 
+def ranking_faults(rows: DataFrame, keys: list[str], order: str, identity: str) -> DataFrame:
+    """keys, fault, n: places where a ranking's rank falls, and identities that repeat in it."""
+    before = F.lag("rank").over(Window.partitionBy(*keys).orderBy(order))
+    falls = rows.withColumn("__before", before).where(F.col("rank") < F.col("__before")).groupBy(*keys).agg(F.count("*").alias("n"))
+    again = rows.groupBy(*keys, identity).count().where("count > 1").groupBy(*keys).agg(F.count("*").alias("n"))
+    return falls.withColumn("fault", F.lit("rank falls")).unionByName(again.withColumn("fault", F.lit("repeated name")))
+
+
 def fragment_rows(fragments: DataFrame, left: float, right: float) -> DataFrame:
     """Table rows out of positioned text (page, ord, x, text): a row opens with a number left of
     ``left`` and closes with one right of ``right``; what lies between, in order, is its name."""
@@ -170,8 +188,6 @@ def robots_rules(documents: DataFrame, key: str, text: str) -> DataFrame:
     field = F.lower(F.trim(F.regexp_extract("raw", r"^\s*([A-Za-z-]+)\s*:", 1)))
     value = F.trim(F.regexp_replace(F.regexp_replace("raw", r"#.*$", ""), r"^\s*[A-Za-z-]+\s*:", ""))
     told = lines.select(key, "line", field.alias("field"), value.alias("value")).where(F.col("field").isin("user-agent", "allow", "disallow"))
-    from pyspark.sql import Window
-
     before = F.lag("field").over(Window.partitionBy(key).orderBy("line"))
     opens = (F.col("field") == "user-agent") & (F.coalesce(before, F.lit("")) != "user-agent")
     grouped = told.withColumn("opens", opens).withColumn("group", segments(F.col("opens"), [key], ["line"]))
@@ -180,17 +196,40 @@ def robots_rules(documents: DataFrame, key: str, text: str) -> DataFrame:
     return agents.join(rules, [key, "group"]).select(key, "agent", "allow", "path")
 
 
+def _plain_path(path: Column) -> Column:
+    """A path with its percent escapes in one form: those of unreserved characters decoded, others in upper case."""
+
+    def one(text: str) -> str:
+        def step(match: re.Match) -> str:
+            char = chr(int(match[1], 16))
+            return char if char.isascii() and (char.isalnum() or char in "-._~") else match[0].upper()
+
+        return re.sub("%([0-9A-Fa-f]{2})", step, text)
+
+    def run(paths: pd.Series) -> pd.Series:
+        return paths.map(one, na_action="ignore")
+
+    return F.when(F.contains(path, F.lit("%")), F.pandas_udf(run, "string")(path)).otherwise(path)
+
+
 def robots_allow(requests: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """``requests`` (key, agent, path) with ``allowed``: the most specific agent's longest matching rule;
-    allow wins a tie; no rule allows."""
+    allow wins a tie; no rule allows.
+
+    A group's agent counts where the requesting product's name begins with it, whatever its version;
+    the longest such name is the most specific.
+    """
     wanted = requests.withColumn("__id", F.struct(key, "agent", "path"))
-    own = rules.select(key, F.col("agent").alias("__agent"), "allow", F.col("path").alias("__rule"))
-    met = wanted.join(own, key).where((F.col("__agent") == F.lower("agent")) | (F.col("__agent") == "*"))
-    specific = met.groupBy("__id").agg(F.max(F.col("__agent") != "*").alias("__named"))
-    met = met.join(specific, "__id").where((F.col("__agent") != "*") == F.col("__named"))
+    product = F.regexp_extract(F.lower("agent"), r"^\s*([a-z_-]+)", 1)
+    own = rules.select(key, F.regexp_extract("agent", r"^\s*(\*|[a-z_-]+)", 1).alias("__agent"), "allow", _plain_path(F.col("path")).alias("__rule"))
+    fits = (F.col("__agent") == "*") | ((F.col("__agent") != "") & F.startswith(F.col("__product"), F.col("__agent")))
+    met = wanted.select("__id", product.alias("__product"), _plain_path(F.col("path")).alias("__path"), key).join(own, key).where(fits)
+    length = F.when(F.col("__agent") == "*", 0).otherwise(F.length("__agent"))
+    specific = met.groupBy("__id").agg(F.max(length).alias("__most"))
+    met = met.join(specific, "__id").where(length == F.col("__most"))
     quoted = F.regexp_replace(F.regexp_replace("__rule", r"([.+?^()\[\]{}|\\])", r"\\$1"), r"\*", ".*")
     pattern = F.concat(F.lit("^"), F.when(F.endswith("__rule", F.lit("$")), quoted).otherwise(F.concat(F.regexp_replace(quoted, r"\$", r"\\$"), F.lit(".*"))))
-    hits = met.where(F.regexp_like("path", pattern))
+    hits = met.where(F.regexp_like("__path", pattern))
     best = hits.groupBy("__id").agg(F.max_by("allow", F.struct(F.length("__rule"), "allow")).alias("allowed"))
     return wanted.join(best, "__id", "left").select(*requests.columns, F.coalesce("allowed", F.lit(True)).alias("allowed"))
 

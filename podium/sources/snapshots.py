@@ -21,9 +21,12 @@ LEADING = ("source", "retrieved_at", "ranking_scope", "ranking_year")
 CSV = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
 
 
-def read_table(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:
-    """All cells as strings (blank is null), with ``__path`` and ``__ord``, the row's place in its file."""
-    df = spark.read.options(**CSV, sep=separator).csv(paths)
+def read_table(spark: SparkSession, paths: str | list[str], separator: str = ",", multi_line: bool = True) -> DataFrame:
+    """All cells as strings (blank is null), with ``__path`` and ``__ord``, the row's place in its file.
+
+    Without line breaks inside cells, pass ``multi_line=False``: Spark then splits large files.
+    """
+    df = spark.read.options(**(CSV | {"multiLine": multi_line}), sep=separator).csv(paths)
     return df.withColumn("__path", F.col("_metadata.file_path")).withColumn("__ord", F.monotonically_increasing_id())
 
 
@@ -67,6 +70,13 @@ def latest(snapshots: DataFrame, keys: Iterable[str] = ("source",)) -> DataFrame
     return snapshots.groupBy(*keys).agg(row).select(*keys, "row.*")
 
 
+def latest_named(snapshots: DataFrame, pattern: str) -> DataFrame:
+    """The snapshot of the greatest year in its file name, of those whose name fits; the year is group 1."""
+    year = F.regexp_extract("file_name", pattern, 1)
+    fits = snapshots.where(F.col("file_name").rlike(pattern)).withColumn("edition", year.try_cast("int"))
+    return fits.orderBy(F.desc("edition"), F.desc("file_name")).limit(1)
+
+
 def latest_with_rows(boards: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the newest edition of each key that has any: an edition without rows falls back to an older one."""
     newest = boards.groupBy(*keys).agg(F.max(F.struct("edition", "file_name")).alias("__newest"))
@@ -132,6 +142,12 @@ def open_scopes(scopes: DataFrame, launches: DataFrame, year: int) -> DataFrame:
     return scopes.join(launches, "ranking_scope", "left").where(F.coalesce("first_year", F.lit(year)) <= year).select(*scopes.columns)
 
 
+def subject_rows(df: DataFrame) -> DataFrame:
+    """Rows of subjects: neither overall, nor blank, nor an academic-only scope."""
+    scope = F.coalesce(F.trim("ranking_scope"), F.lit(""))
+    return df.where(~scope.isin("overall", "") & ~F.startswith(scope, F.lit("academic-")))
+
+
 def seeds(df: DataFrame, id_column: str, countries: list[str] | None = None) -> DataFrame:
     """Overall rows with an id, which must be unique, by rank and name."""
     kept = df.where((F.col("ranking_scope") == "overall") & F.col(id_column).isNotNull())

@@ -88,8 +88,10 @@ def test_web(spark):
     assert [r[0] for r in hosts.select(web.same_site(F.col("a"), F.col("b"))).collect()] == [True, True, False]
     assert values(column(spark, ["/About-us", "/news/2024", "/zzz", None]), web.link_kind(F.col("v"))) == ["about", "news", "other", None]
     assert values(column(spark, ["https://www.youtube.com/x", "https://notyoutube.com"]), web.social_network(F.col("v"))) == ["youtube", None]
-    errors = ["HTTP 404", "HTTP 503 timeout", "captcha shown", "odd"]
-    assert values(column(spark, errors), web.failure_class(F.col("v"))) == ["permanent", "transient", "blocked", "unknown"]
+    errors = ["returned HTTP 404", "HTTP 503", "captcha shown", None, "has no official website"]
+    assert values(column(spark, errors), web.failure_class(F.lit("fetch"), F.col("v"))) == ["discovery", "transient", "blocked", None, "blocked"]
+    assert values(column(spark, errors), web.failure_class(F.lit("registry"), F.col("v"))) == ["blocked", "blocked", "blocked", None, "discovery"]
+    assert values(column(spark, errors), web.retries(F.lit("fetch"), F.col("v"), "recoverable")) == [True, True, False, True, False]
 
 
 def test_facts(spark):
