@@ -52,9 +52,10 @@ def row_rank(*displays: Column, tied: Column | None = None) -> tuple[Column, Col
 
 
 def compact(value: Column) -> Column:
-    """1.2K, 3.4M, 5B: one decimal at most, none if it is zero."""
+    """1.2K, 3.4M, 5B: one decimal at most, none if it is zero; halves go up."""
     def scaled(size: float, unit: str) -> Column:
-        number = F.regexp_replace(F.format_string("%.1f", value / F.lit(size)), r"\.0$", "")
+        tenths = F.floor(value * 10 / F.lit(size) + 0.5) / 10
+        number = F.regexp_replace(F.format_string("%.1f", tenths), r"\.0$", "")
         return F.concat(number, F.lit(unit))
 
     return F.when(F.abs(value) >= 999.95e6, scaled(1e9, "B")).when(F.abs(value) >= 999.95e3, scaled(1e6, "M")).when(F.abs(value) >= 999.95, scaled(1e3, "K")).otherwise(scaled(1.0, ""))
