@@ -5,6 +5,8 @@ Where a rule depends on row order, the order is an explicit column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,23 +56,53 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, rank: str
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def numbered(df: DataFrame, key: str, ties: list, name: str = "position", buckets: int = 64) -> DataFrame:
-    """A global row number by ``key`` descending, without one task that sorts everything.
+def _cut(df: DataFrame, keys: list[str], value: str, descending: bool, ranges: int | None, deal_nulls: bool = True) -> DataFrame:
+    """Adds ``__range``, the range of ``value`` in its key, the first ranges first, and ``__start``, the rows before it.
 
-    Approximate quantiles of ``key`` (numeric) cut it into ranges; rows are numbered in
-    their range and shifted by the sizes of the ranges above.  Any cuts give the same
-    numbers; null keys come last.
+    Approximate quantiles cut each key's values (numeric) into as many ranges as Spark has
+    shuffle partitions, so that no task sorts a whole key.  Keys are few (publishers, years,
+    none): their cuts and sizes are a row a key or range, and are broadcast.  Equal values
+    share a range.  Nulls come after all ranges, dealt out evenly or, where their order counts, in one.
+    """
+    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    number = F.col(value).cast("double")
+    quantiles = F.array_distinct(F.percentile_approx(number, [k / ranges for k in range(1, ranges)], 1000))
+
+    def met(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        side = right.withColumnsRenamed({k: f"__of_{k}" for k in names})
+        same = [left[k].eqNullSafe(side[f"__of_{k}"]) for k in names]
+        return left.join(F.broadcast(side), reduce(lambda x, y: x & y, same)).drop(*[f"__of_{k}" for k in names])
+
+    if keys:
+        cut = met(df, df.groupBy(*keys).agg(quantiles.alias("__cuts")), keys)
+    else:
+        cut = df.withColumn("__cuts", df.agg(quantiles).scalar())
+    passed = F.size(F.filter("__cuts", (lambda c: c > number) if descending else (lambda c: c < number)))
+    last = F.lit(ranges) + (F.pmod(F.xxhash64(*df.columns), F.lit(ranges)) if deal_nulls else F.lit(0))
+    cut = cut.withColumn("__range", F.when(number.isNull(), last).otherwise(passed).cast("int")).drop("__cuts")
+    sizes = cut.groupBy(*keys, "__range").agg(F.count("*").alias("__size"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = sizes.select(*keys, "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    return met(cut, starts, [*keys, "__range"])
+
+
+def range_ranked(df: DataFrame, keys: list[str], value: str, name: str = "rank", descending: bool = True, average: bool = False, ranges: int | None = None) -> DataFrame:
+    """``df`` with the rank of ``value`` in its key: equal values share their lowest rank, or their average one; null has none.
+
+    As ``rank_min`` and ``rank_average``, for keys too large to be sorted by one task.
     """
-    cuts = df.select(F.percentile_approx(F.col(key).cast("double"), [k / buckets for k in range(1, buckets)], 1000).alias("q")).first()["q"] or []
-    bounds = F.array(*map(F.lit, sorted(set(cuts)))).cast("array<double>")
-    bucket = F.when(F.col(key).isNull(), buckets + 1).otherwise(F.size(F.filter(bounds, lambda b: b > F.col(key).cast("double"))))
-    cut = df.withColumn("__bucket", bucket)
-    sizes = cut.groupBy("__bucket").agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
-    starts = sizes.select("__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
-    w = Window.partitionBy("__bucket").orderBy(F.col(key).desc_nulls_last(), *ties)
-    placed = cut.join(F.broadcast(starts), "__bucket").withColumn(name, F.col("__start") + F.row_number().over(w))
-    return placed.drop("__bucket", "__start")
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    place = F.col("__start") + F.rank().over(Window.partitionBy(*keys, "__range").orderBy(order))
+    if average:
+        place = place + (F.count("*").over(Window.partitionBy(*keys, "__range", value)) - 1) / 2
+    return _cut(df, keys, value, descending, ranges).withColumn(name, F.when(F.col(value).isNotNull(), place)).drop("__range", "__start")
+
+
+def numbered(df: DataFrame, key: str, ties: list, name: str = "position", buckets: int | None = None) -> DataFrame:
+    """A global row number by ``key`` descending, nulls last, without one task that sorts everything."""
+    cut = _cut(df, [], key, True, buckets, deal_nulls=False)
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(F.col(key).desc_nulls_last(), *ties))
+    return cut.withColumn(name, F.col("__start") + within).drop("__range", "__start")
 
 
 def concentration(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
@@ -89,7 +121,7 @@ def zero_filled(df: DataFrame, rows: DataFrame, columns: DataFrame, values: list
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation with average ranks; rows with a null in either column do not count."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = both.select(rank_average(F.col(x), []).alias("rx"), rank_average(F.col(y), []).alias("ry"))
+    ranked = range_ranked(range_ranked(both.select(x, y), [], x, "rx", False, True), [], y, "ry", False, True)
     return ranked.agg(F.corr("rx", "ry").alias("spearman"), F.count("*").alias("n"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.functions.numbers import percentile_score
-from podium.operators.relational import rank_min
+from podium.operators.relational import range_ranked
 
 MONEY = "decimal(18,2)"
 
@@ -25,9 +25,10 @@ def scores(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """provider, entity, score, rank, field: rank and field share one exchange by provider."""
-    field = F.count("*").over(Window.partitionBy("provider"))
-    return scores(spark, sf_dir, "provider", "entity").select("provider", "entity", "score", rank_min(F.col("score"), ["provider"]).alias("rank"), field.alias("field"))
+    """provider, entity, score, rank, field.  Providers are few and large, so each is ranked in ranges of its scores."""
+    rows = scores(spark, sf_dir, "provider", "entity").select("provider", "entity", "score")
+    fields = rows.groupBy("provider").agg(F.count("*").alias("field"))  # a row a provider
+    return range_ranked(rows, ["provider"], "score").join(F.broadcast(fields), "provider").select("provider", "entity", "score", "rank", "field")
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:

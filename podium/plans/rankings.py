@@ -9,6 +9,7 @@ from podium.functions.numbers import growth_rate, percent_change
 from podium.operators import relational as R
 from podium.plans.base import CONSENSUS, NATIONS, RANKED, SCORED, YEARLY, consensus, nations, ranked, scores, table
 from podium.plans.registry import registry
+from podium.sources import landing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -56,7 +57,7 @@ top AS (SELECT year, entity, CASE WHEN contains(country, '_1') THEN NULL ELSE co
 
 def _top_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """year, country of each year's first hundred; some countries are unknown (null)."""
-    placed = scores(spark, sf_dir, "entity", "year").withColumn("rank", R.rank_min(F.col("score"), ["year"])).where("rank <= 100")
+    placed = R.range_ranked(scores(spark, sf_dir, "entity", "year"), ["year"], "score").where("rank <= 100")
     return placed.join(nations(spark, sf_dir), "entity").select("year", F.when(~F.col("country").contains("_1"), F.col("country")).alias("country"))
 
 
@@ -104,7 +105,7 @@ WHERE rank <= 10 AND (overall_rank IS NULL OR overall_rank >= 30)""")
 def subject_outperformers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High in a subject, low or absent overall."""
     returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_suppkey").alias("entity")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("score"))
-    overall = returned.select("entity", R.rank_min(F.col("score"), []).alias("overall_rank"))
+    overall = R.range_ranked(returned, [], "score", "overall_rank").select("entity", "overall_rank")
     joined = _board(spark, sf_dir, 10).join(overall, "entity", "left")
     return joined.where("overall_rank is null or overall_rank >= 30").select("subject", "entity", "rank", "overall_rank")
 
@@ -200,7 +201,7 @@ def _indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {INDICATORS}, r AS (SELECT *, rank() OVER (ORDER BY scale DESC) AS rank FROM ind) SELECT entity, scale::DECIMAL(28,2)::DOUBLE AS scale, round_even(impact, 9) AS impact, rank FROM r WHERE rank <= 140""")
 def scale_impact_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = _indicators(spark, sf_dir).withColumn("rank", R.rank_min(F.col("scale"), []))
+    placed = R.range_ranked(_indicators(spark, sf_dir), [], "scale")
     return placed.where("rank <= 140").select("entity", "scale", F.bround("impact", 9).alias("impact"), "rank")
 
 
@@ -317,9 +318,9 @@ gap AS (SELECT *, academic - web AS advantage FROM paired)
 def position_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions in two lists of the same entities, and the widest gaps either way."""
     web = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("entity")).agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("visits"))
-    both = consensus(spark, sf_dir).join(web, "entity")
+    both = landing.written(consensus(spark, sf_dir).join(web, "entity"), "paired")
     both = R.numbered(both, "raw", [F.desc("providers"), "entity"], "academic")
-    both = R.numbered(both, "visits", ["entity"], "web")
+    both = R.numbered(landing.written(both, "placed"), "visits", ["entity"], "web")
     gap = both.select("entity", F.col("academic").cast("long"), F.col("web").cast("long"), (F.col("academic") - F.col("web")).cast("long").alias("advantage"))
     side = lambda name, order: gap.orderBy(order, "entity").limit(8).select(F.lit(name).alias("side"), "entity", "academic", "web", "advantage")
     return side("ahead", F.desc("advantage")).unionByName(side("behind", F.asc("advantage")))

@@ -21,12 +21,13 @@ query = registry(QUERIES, ORACLES)
 UNION ALL SELECT l_orderkey, l_linenumber, NULL FROM lineitem WHERE l_linenumber >= 7""")
 def rank_min_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("q"))
-    return items.select("l_orderkey", "l_linenumber", R.rank_min(F.col("q"), ["l_returnflag"]).alias("r"))
+    return R.range_ranked(items, ["l_returnflag"], "q", "r").select("l_orderkey", "l_linenumber", "r")
 
 
 @query("""SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0::DOUBLE AS r FROM lineitem""")
 def rank_average_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", R.rank_average(F.col("l_quantity"), ["l_returnflag"]).alias("r"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    return R.range_ranked(items, ["l_returnflag"], "l_quantity", "r", descending=False, average=True).select("l_orderkey", "l_linenumber", "r")
 
 
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events) WHERE k = 1""")

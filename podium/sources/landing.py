@@ -36,3 +36,10 @@ def memoised(spark: SparkSession, key: tuple, make: Callable[[], str]) -> str:
     if full not in _memo:
         _memo[full] = make()
     return _memo[full]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once and read again: for what several branches of a query need."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

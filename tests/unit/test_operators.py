@@ -105,3 +105,16 @@ def test_violations(spark):
     p = spark.createDataFrame([(5,)], "id int")
     out = fact_store.violations({"repeated": fact_store.repeated_keys(a, ["id"]), "orphan": fact_store.orphans(a, p, "parent", "id")})
     assert collected(out, "check", "bad_rows") == [("orphan", 1), ("repeated", 1)]
+
+
+@pytest.mark.parametrize("ranges", [2, 7, None])
+@pytest.mark.parametrize("descending", [True, False])
+def test_ranks_by_ranges_equal_plain_ones(spark, ranges, descending):
+    rows = [(None if i % 11 == 0 else "ab"[i % 2], None if i % 7 == 0 else i * i % 23, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, v int, i int")
+    for average, plain in ((False, R.rank_min), (True, R.rank_average)):
+        got = R.range_ranked(df, ["k"], "v", "r", descending, average, ranges)
+        want = df.withColumn("r", plain(F.col("v"), ["k"], descending))
+        assert collected(got, "i", "r") == collected(want, "i", "r")
+        assert collected(R.range_ranked(df, [], "v", "r", descending, average, ranges), "i", "r") == collected(df.withColumn("r", plain(F.col("v"), [], descending)), "i", "r")
+    assert R.range_ranked(df.where("false"), ["k"], "v").count() == 0
