@@ -1,17 +1,19 @@
-"""Token counts that follow edits: a segment tree of pre-token pieces per document.
+"""Token counts that follow edits: a segment tree of pre-tokens per document, kept in a table.
 
-A document is cut at blanks that a non-blank follows (no token crosses such a place).
-The pieces' lengths and token counts stand in pages, and a binary tree holds the pages'
-sums.  An edit finds its place by descending the tree, re-cuts and re-encodes only from
-the last cut before the edit to the first cut after it, and updates the sums above the
-pages it touched.  Whether a cut stands depends on two characters, so cuts that lie one
-character before the edit, or after it, still hold.
+Leaves are the vocabulary's own pre-tokens, with their lengths and token counts, in pages;
+a binary tree holds the pages' sums.  An edit finds its place by descending the tree, cuts
+the text anew from the last pre-token that it cannot have changed, until a cut meets one
+of before, encodes only what lies between, and updates the sums above the pages it touched.
+
+``trees`` writes every document with its leaves once; ``edited`` applies a later table of
+edits to the stored trees and can return them for the next one.
 
 Defined results: a null text is empty and has no tokens; edits beyond the text's end are
 clipped to it; null places count as the end, a null replacement as empty; edits of a
-document apply in the order of ``seq``, each to the text its predecessors left; documents
-without edits keep their counts; repeated rows are counted each; an empty table gives an
-empty result; other columns are ignored.
+document apply in the order of ``seq``, each to the text its predecessors left, so they
+are one task's work; rows that share a doc_id get the same edits each; rows without a
+doc_id get none; documents without edits keep their counts; repeated rows are counted
+each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.common import table
-from podium.llm.tokens import encoder, pieces
+from podium.llm.common import materialise, table, texts
+from podium.llm.tokens import Pretokens
 
 PAGE = 64
 EDITS = "array<struct<start:long,end:long,replacement:string>>"
@@ -34,23 +36,16 @@ EDITS = "array<struct<start:long,end:long,replacement:string>>"
 class CountTree:
     """The token counts of one text under edits."""
 
-    def __init__(self, text: str, counter) -> None:
-        self.text, self.counter, self.recoded = text, counter, 0
-        self._build(*self._measure(text, True))
-
-    def _measure(self, text: str, whole: bool) -> tuple[list[int], list[int]]:
-        """(lengths, counts) of the pieces of a stretch; ``whole``: it begins the text, else it begins with a cut."""
-        first, *rest = pieces(text)
-        tokens = self.counter(first, rest)
-        lengths = [len(first), *(len(p) + 1 for p in rest)]
-        self.recoded += len(rest) + bool(first)
-        return (lengths, tokens) if whole else (lengths[1:], tokens[1:])
+    def __init__(self, text: str, leaves: np.ndarray, by: Pretokens) -> None:
+        """``leaves``: rows (length, ids) of the text's pre-tokens."""
+        self.text, self.by, self.recoded = text, by, 0
+        self._build([leaves[i : i + PAGE].astype(np.int64) for i in range(0, len(leaves), PAGE)])
 
-    def _build(self, lengths: list[int], tokens: list[int]) -> None:
-        self.pages = [(lengths[i : i + PAGE], tokens[i : i + PAGE]) for i in range(0, len(lengths), PAGE)] or [([], [])]
+    def _build(self, pages: list[np.ndarray]) -> None:
+        self.pages = pages or [np.zeros((0, 2), np.int64)]
         self.leaves = 1 << (len(self.pages) - 1).bit_length()
         self.sums = np.zeros((2 * self.leaves, 2), np.int64)
-        self.sums[self.leaves : self.leaves + len(self.pages)] = [(sum(a), sum(b)) for a, b in self.pages]
+        self.sums[self.leaves : self.leaves + len(self.pages)] = [page.sum(axis=0) for page in self.pages]
         level = self.leaves
         while level > 1:
             self.sums[level // 2 : level] = self.sums[level : 2 * level].reshape(-1, 2, 2).sum(axis=1)
@@ -62,107 +57,157 @@ class CountTree:
 
     @property
     def size(self) -> int:
-        return sum(len(a) for a, _ in self.pages)
+        return sum(map(len, self.pages))
+
+    def table(self) -> np.ndarray:
+        return np.concatenate(self.pages)
 
-    def _page_of(self, place: int) -> tuple[int, int]:
-        """(page, characters before it) of the page that holds ``place``; the last one for the end."""
+    def _at(self, place: int) -> tuple[int, int, int]:
+        """(page, index in it, begin) of the pre-token that holds ``place``; the end of the last page for the end."""
         node, before = 1, 0
         while node < self.leaves:
             left = int(self.sums[2 * node, 0])
             node = 2 * node if place < before + left else 2 * node + 1
             before += left if node % 2 else 0
-        page = node - self.leaves
-        if page >= len(self.pages):
-            page = len(self.pages) - 1
-            before = int(self.sums[1, 0]) - int(self.sums[self.leaves + page, 0])
-        return page, before
-
-    def _cut_at_or_before(self, place: int) -> tuple[int, int, int]:
-        """(page, index in it, place) of the piece that holds ``place``."""
-        page, at = self._page_of(place)
-        for k, length in enumerate(self.pages[page][0]):
-            if place < at + length:
-                return page, k, at
-            at += length
-        return page, len(self.pages[page][0]), at
+        page = min(node - self.leaves, len(self.pages) - 1)
+        before = before if page == node - self.leaves else int(self.sums[1, 0] - self.sums[self.leaves + page, 0])
+        ends = before + np.cumsum(self.pages[page][:, 0])
+        k = int(np.searchsorted(ends, place, side="right"))
+        return page, k, int(ends[k - 1]) if k else before
+
+    def _ends(self, page: int, index: int, begin: int) -> Iterator[tuple[int, int, int]]:
+        """(page, index after, end) of the pre-tokens from there on."""
+        for p in range(page, len(self.pages)):
+            for k, length in enumerate(self.pages[p][index:, 0].tolist(), index + 1):
+                begin += length
+                yield p, k, begin
+            index = 0
 
     def edit(self, start: int, end: int, replacement: str) -> None:
         """Replace text[start:end]."""
         old = self.text
         start = min(max(start, 0), len(old))
         end = min(max(end, start), len(old))
-        self.text = old[:start] + replacement + old[end:]
-        first_page, first, left = self._cut_at_or_before(max(start - 2, 0))
-        last_page, last, right = self._cut_at_or_before(end)
-        if left == 0:
-            first_page = first = 0
-        if (right < end or right == 0) and last < len(self.pages[last_page][0]):  # the piece that holds the end goes whole
-            right += self.pages[last_page][0][last]
-            last += 1
-        stretch = self.text[left : right + len(replacement) - (end - start)]
-        lengths, tokens = self._measure(stretch, left == 0)
-        head = self.pages[first_page][0][:first], self.pages[first_page][1][:first]
-        tail = self.pages[last_page][0][last:], self.pages[last_page][1][last:]
-        merged = head[0] + lengths + tail[0], head[1] + tokens + tail[1]
-        if len(merged[0]) > 8 * PAGE:
-            pages = [*self.pages[:first_page], merged, *self.pages[last_page + 1 :]]
-            self._build([x for a, _ in pages for x in a], [x for _, b in pages for x in b])
+        self.text = text = old[:start] + replacement + old[end:]
+        first_page, first, left = self._at(max(start - self.by.context, 0))
+        grown = len(replacement) - (end - start)
+        before = self._ends(first_page, first, left)
+        last_page, last, at = first_page, first, left
+        stops = []
+        for stop in self.by.ends(text, left):
+            stops.append(stop)
+            if stop >= start + len(replacement):
+                while at < stop - grown and (step := next(before, None)):
+                    last_page, last, at = step
+                if at == stop - grown and at >= end:
+                    break
+        else:  # to the text's end
+            for last_page, last, at in before:
+                pass
+        fresh = self.by.table(text, left, stops).astype(np.int64)
+        self.recoded += len(fresh)
+        merged = np.concatenate([self.pages[first_page][:first], fresh, self.pages[last_page][last:]])
+        if len(merged) > 8 * PAGE:
+            parts = [merged[i : i + PAGE] for i in range(0, len(merged), PAGE)]
+            self._build([*self.pages[:first_page], *parts, *self.pages[last_page + 1 :]])
             return
-        self.pages[first_page] = merged
-        self._update(first_page)
-        for page in range(first_page + 1, last_page + 1):
-            self.pages[page] = ([], [])
+        for page in range(first_page, last_page + 1):
+            self.pages[page] = merged if page == first_page else merged[:0]
             self._update(page)
 
     def _update(self, page: int) -> None:
         node = self.leaves + page
-        change = np.array([sum(self.pages[page][0]), sum(self.pages[page][1])]) - self.sums[node]
+        change = self.pages[page].sum(axis=0) - self.sums[node]
         while node:
             self.sums[node] += change
             node //= 2
 
 
-def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """doc_id, text, edits: ``edits`` has doc_id, seq, start, end, replacement."""
+def dump(leaves: np.ndarray) -> bytes:
+    """A byte a pre-token (length and ids in half a byte each), zero where either is too large; those follow in full."""
+    small = (leaves[:, 0] < 16) & (leaves[:, 1] < 16)
+    short = np.where(small, leaves[:, 0] + 16 * leaves[:, 1], 0).astype(np.uint8)
+    return len(leaves).to_bytes(8, "little") + short.tobytes() + leaves[~small].astype("<u4").tobytes()
+
+
+def load(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    short = np.frombuffer(data, np.uint8, n, 8)
+    out = np.stack([short & 15, short >> 4], axis=1).astype(np.int64)
+    out[short == 0] = np.frombuffer(data, "<u4", -1, 8 + n).reshape(-1, 2)
+    return out
+
+
+STORED = "doc_id long, text string, tree binary"
+
+
+def trees(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id, text, tree: every document with the leaves of its tree, to be written and edited later."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = Pretokens(tokenizer_path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                found = [dump(leaves) for leaves in by.tables(texts(rows, "text"))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(found, pa.binary())], ["doc_id", "text", "tree"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, STORED)
+
+
+def attach_edits(stored: DataFrame, edits: DataFrame) -> DataFrame:
+    """``stored`` rows with their edits as an array: ``edits`` has doc_id, seq, start, end, replacement."""
     listed = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("seq", "start", "end", "replacement"))).alias("edits"))
-    told = docs.select("doc_id", "text").join(listed, "doc_id", "left")
+    told = stored.select("doc_id", "text", "tree").join(listed, "doc_id", "left")
     plain = F.transform("edits", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end"), e["replacement"].alias("replacement")))
-    return told.select("doc_id", "text", plain.alias("edits"))
+    return told.select("doc_id", "text", "tree", plain.alias("edits"))
+
+
+COUNTS = "doc_id long, n_edits long, tokens_before long, tokens_after long, n_pieces long, n_recoded long, chars_after long"
+
 
+def edited(stored: DataFrame, tokenizer_path: str, keep: bool = False) -> DataFrame:
+    """Counts of rows (doc_id, text, tree, edits) before and after their edits, and the work it took.
 
-def edited_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Counts of rows (doc_id, text, edits) before and after their edits, and the work it took."""
+    ``keep``: with the text and the tree as the edits left them, ready to be stored again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = encoder(tokenizer_path, True).counts
+        by = Pretokens(tokenizer_path)
         for batch in batches:
-            rows = []
-            for doc_id, text, edits in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                tree = CountTree(text or "", counter)
-                before, pieces_, tree.recoded = tree.total, tree.size, 0
+            rows, states = [], []
+            for doc_id, text, data, edits in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                tree = CountTree(text or "", load(data), by)
+                before, pieces = tree.total, tree.size
                 for e in edits or []:
                     if e is not None:
                         far = len(tree.text)
                         tree.edit(far if e["start"] is None else e["start"], far if e["end"] is None else e["end"], e["replacement"] or "")
-                rows.append((doc_id, len(edits or []), before, tree.total, pieces_, tree.recoded, len(tree.text)))
+                rows.append((doc_id, len(edits or []), before, tree.total, pieces, tree.recoded, len(tree.text)))
+                if keep:
+                    states.append((tree.text if text is not None or tree.text else None, dump(tree.table())))
             columns = [pa.array(list(c), pa.int64()) for c in zip(*rows)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_edits", "tokens_before", "tokens_after", "n_pieces", "n_recoded", "chars_after"])
+            names = [part.split()[0] for part in COUNTS.split(", ")]
+            if keep:
+                columns += [pa.array([x for x, _ in states], pa.string()), pa.array([x for _, x in states], pa.binary())]
+                names += ["text", "tree"]
+            if rows:
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("edits").cast(EDITS))
-    return rows.mapInArrow(
-        run, "doc_id long, n_edits long, tokens_before long, tokens_after long, n_pieces long, n_recoded long, chars_after long"
-    )
+    rows = stored.select(F.col("doc_id").cast("long"), "text", "tree", F.col("edits").cast(EDITS))
+    return rows.mapInArrow(run, COUNTS + (", text string, tree binary" if keep else ""))
 
 
-def sample_edits(docs: DataFrame) -> DataFrame:
-    """Every document with four edits at hashed places: an insertion, a deletion, a replacement, an append."""
+def sample_edits(stored: DataFrame) -> DataFrame:
+    """Every row with four edits at hashed places: an insertion, a deletion, a replacement, an append."""
     n = F.length(F.coalesce("text", F.lit(""))).cast("long")
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), n + 1)
     edit = lambda start, length, text: F.struct(start.alias("start"), (start + length).alias("end"), F.lit(text).alias("replacement"))
     edits = F.array(edit(place(1), 0, " a few new words"), edit(place(2), 12, ""), edit(place(3), 7, "re-placed 2x"), edit(n * 2, 0, "\nThe end."))
-    return docs.select("doc_id", "text", edits.alias("edits"))
+    return stored.select("doc_id", "text", "tree", edits.alias("edits"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return edited_counts(sample_edits(docs), public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    stored = materialise(trees(table(spark, sf_dir, "documents"), path), "trees")
+    return edited(sample_edits(stored), path)

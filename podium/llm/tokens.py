@@ -4,7 +4,8 @@ Both vocabularies cut a text into pre-tokens by a pattern before merging, and no
 pre-token joins what stands on both sides of a blank that a non-blank follows.  So a
 text is split there and the ids of each piece are looked up.  A new piece is cut by the
 vocabulary's own pattern, and the library encodes only pre-tokens not seen yet.  The
-ids are the library's own for the whole text; tests compare them.
+ids are the library's own for the whole text; tests compare them.  A text in which a
+special token of the vocabulary is spelt out goes to the library whole.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -47,7 +48,6 @@ def encoder(path: str, keep_blank: bool) -> Callable[[list[str]], list[bytes]]:
     if (path, keep_blank) not in _loaded:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         if keep_blank:
             cut = regex.compile(public_tokenizers.PATTERN).findall
             pretokens = lambda piece: cut(" " + piece)
@@ -62,10 +62,21 @@ def encoder(path: str, keep_blank: bool) -> Callable[[list[str]], list[bytes]]:
     return _loaded[path, keep_blank]
 
 
+def specials(tokenizer: Tokenizer) -> list[str]:
+    return sorted(token.content for token in tokenizer.get_added_tokens_decoder().values())
+
+
+def _of_pretokens(tokenizer: Tokenizer) -> Tokenizer:
+    """For what is a pre-token already."""
+    single = Tokenizer(tokenizer.model)
+    single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return single
+
+
 def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower: bool) -> Callable[[list[str]], list[bytes]]:
     """``lower``: the vocabulary is lower case and marks the ends of words."""
-    single = Tokenizer(tokenizer.model)  # for what is a pre-token already
-    single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    single = _of_pretokens(tokenizer)
+    special = specials(tokenizer)
     lines = Tokenizer(tokenizer.model)  # for many of them at once, a line each
     lines.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\n"), single.pre_tokenizer])
     vocabulary = tokenizer.get_vocab()
@@ -129,23 +140,96 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
         out = []
         gc.disable()  # the memos hold no cycles; walking them again and again takes longer than the work
         for at in range(0, len(texts), CHUNK):
-            first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, texts[at : at + CHUNK])))
+            chunk = texts[at : at + CHUNK]
+            whole = [k for k, text in enumerate(chunk) if any(x in text for x in special)]
+            plain = chunk if not whole else ["" if k in set(whole) else text for k, text in enumerate(chunk)]
+            first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, plain)))
             known = [list(map(memo.get, tail)) for tail in rest]
             missing = {piece for tail, ids in zip(rest, known) if None in ids for piece, x in zip(tail, ids) if x is None}
             learnt = learn(missing)
             known = [[memo[p] if x is None else x for p, x in zip(tail, ids)] if None in ids else ids for tail, ids in zip(rest, known)]
-            out += [head + b"".join(ids) for head, ids in zip(encode(list(first)), known)]
+            found = [head + b"".join(ids) for head, ids in zip(encode(list(first)), known)]
+            for k, ids in zip(whole, encode([chunk[k] for k in whole])):
+                found[k] = ids
+            out += found
             forget(*learnt)
         gc.enable()
         return out
 
-    def counts(first: str, rest: list[str]) -> list[int]:
-        """Ids of the first piece of a text (or of none) and of pieces that follow a blank."""
-        known = list(map(memo.get, rest))
-        learnt = learn({p for p, x in zip(rest, known) if x is None})
-        out = [len(memo[p] if x is None else x) // 4 for p, x in zip(rest, known)]
-        forget(*learnt)
-        return [len(encode([first])[0]) // 4, *out]
-
-    run.counts = counts
     return run
+
+
+class Pretokens:
+    """Pre-tokens of a byte-level vocabulary, their lengths and token counts.
+
+    The pattern never looks back, and forward at most one character beyond white space: so
+    pre-tokens depend only on what follows their begin, and those that end ``CONTEXT``
+    characters before a change stay as they are.  Special tokens are pre-tokens of their own.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        tokenizer = Tokenizer.from_file(path)
+        self.special = specials(tokenizer)
+        self.context = 2 + max(map(len, self.special), default=0)
+        self._find = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)").search
+        self._match = regex.compile(public_tokenizers.PATTERN).finditer
+        self._single = _of_pretokens(tokenizer)
+        self._counts: dict[str, int] = {}
+        self._memo: dict[str, bytes] = {}
+
+    def ends(self, text: str, start: int = 0) -> Iterator[int]:
+        """Where the pre-tokens end that follow from ``start``, the begin of one; nothing is read ahead of need."""
+        while start < len(text):
+            mark = self._find(text, start)
+            stop = mark.start() if mark else len(text)
+            for match in self._match(text, start, stop):
+                yield match.end()
+            if mark:
+                yield mark.end()
+            start = mark.end() if mark else stop
+
+    def counts(self, words: list[str]) -> list[int]:
+        """Ids of each pre-token."""
+        held = self._counts
+        unseen = list({word for word in words if word not in held})
+        found = dict(zip(unseen, (len(e.ids) for e in self._single.encode_batch_fast(unseen, add_special_tokens=False))))
+        found |= {word: 1 for word in self.special if word in found}
+        out = [found[word] if word in found else held[word] for word in words]
+        if len(held) > MEMO_PRETOKENS:
+            held.clear()
+        held.update((word, n) for word, n in found.items() if len(word) <= MEMO_CHARS)
+        return out
+
+    def table(self, text: str, start: int = 0, stops: list[int] | None = None) -> np.ndarray:
+        """(length, ids) of the pre-tokens from ``start`` to the ends ``stops``, or to the text's end."""
+        stops = list(self.ends(text, start)) if stops is None else stops
+        words = [text[a:b] for a, b in zip([start, *stops], stops)]
+        return np.array([list(map(len, words)), self.counts(words)], "<u4").T.reshape(-1, 2)
+
+    def tables(self, texts: list[str]) -> list[np.ndarray]:
+        """``table`` of whole texts, by a memo of the pieces between blanks."""
+        memo = self._memo
+        cut = [None if any(x in text for x in self.special) else pieces(text) for text in texts]
+        missing = list({piece for parts in cut if parts for piece in parts[1:] if piece not in memo})
+        words = [[m[0] for m in self._match(" " + piece)] for piece in missing]
+        sizes = self.counts([word for parts in words for word in parts])
+        flat = np.array([[len(word) for parts in words for word in parts], sizes], "<u4").T.tobytes()
+        place, new = 0, {}
+        for piece, parts in zip(missing, words):
+            new[piece] = flat[place : (place := place + 8 * len(parts))]
+        memo.update(new)
+        out = []
+        for text, parts in zip(texts, cut):
+            if parts is None:
+                out.append(self.table(text))
+            else:
+                data = self.table(parts[0]).tobytes() + b"".join(map(memo.__getitem__, parts[1:]))
+                out.append(np.frombuffer(data, "<u4").reshape(-1, 2))
+        if len(memo) > MEMO_PIECES:
+            memo.clear()
+        else:
+            for piece in new:
+                if len(piece) > MEMO_CHARS:
+                    del memo[piece]
+        return out
