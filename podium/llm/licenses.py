@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,13 @@ NOTICES = {
     "creative commons attribution": "cc-notice",
     "this is free and unencumbered software released into the public domain": "unlicense-notice",
     "all rights reserved": "all-rights-reserved",
+    "this work is licensed under a creative commons": "cc-notice",
+    "distributed under the boost software license": "bsl-notice",
+    "licensed under the artistic license 2 0": "artistic-notice",
+    "licensed under the server side public license": "sspl-notice",
+    "use of this source code is governed by a bsd style license": "bsd-notice",
+    "dedicated to the public domain under cc0": "cc0-notice",
+    "the software is provided as is without warranty of any kind": "no-warranty-notice",
 }
 CHARS_PER_ERROR = 10
 _WORDS = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -125,11 +133,12 @@ def scan(text: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[int, int,
     for last, owners in SEEDS.iter(joined.decode("latin-1")):
         for k, back in owners:
             candidates.setdefault(k, []).append(last - back)
+    blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) if candidates else None
     for k, begins in candidates.items():
         notice = NOTICE_LIST[k]
         for start, end, edits in notice.find(joined, begins):
-            first = joined.count(b" ", 0, start + 1) - 1
-            spans.append((first, joined.count(b" ", 0, end - 1), notice.label, edits))
+            first, after = np.searchsorted(blanks, [start + 1, end - 1]).tolist()
+            spans.append((first - 1, after, notice.label, edits))
             score = max(score, 1 - edits / notice.length)
     return len(words), sorted(base), sorted(set(spans)), score
 

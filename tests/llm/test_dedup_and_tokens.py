@@ -12,7 +12,7 @@ from podium.llm.tokens import encoder
 
 ODD = [
     None, "", " ", "a", "one two", "x  y   z", "tab\t and\n \nnew  line ", "  lead", "it's we'll  nbsp\x1c end", "é" * 300,
-    "Ünïcode wörds İstanbul ſ K", "<|endoftext|> plain <|startoftext|>", "a ́ b", "日本語 テキスト", "trailing \n", "12,345.67 $%^ &&&  *",
+    "Ünïcode wörds İstanbul ſ K", "<|endoftext|> plain <|startoftext|>", "plain <|endoftext|> more", "a  <|endoftext|>\n b<|endoftext|><|endoftext|>c <|endoftext", "x <|ENDOFTEXT|> y", "a ́ b", "日本語 テキスト", "trailing \n", "12,345.67 $%^ &&&  *",
 ]
 
 
@@ -93,7 +93,6 @@ def test_empty_table(spark):
 def test_memo_gives_the_library_ids(spark, name, keep):
     path = public_tokenizers.path(name)
     tk = Tokenizer.from_file(path)
-    tk.encode_special_tokens = True
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     rng = random.Random(2)
     odd = ["".join(rng.choice("ab1 é́\n\t '.s\x1c  ") for _ in range(30)) for _ in range(300)]
@@ -105,7 +104,6 @@ def test_memo_gives_the_library_ids(spark, name, keep):
 def test_pack_covers_every_id_once(spark):
     texts = [*ODD, "word " * 5000, "word " * 5000]
     tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tk.encode_special_tokens = True
     out = packing.pack(rows(spark, texts).repartition(3), public_tokenizers.path("byte_bpe_50k.json")).collect()
     seqs = {}
     for r in out:
@@ -140,7 +138,6 @@ def test_token_files(spark, tmp_path, monkeypatch):
     simple8b.write_ids(docs, str(tmp_path / "ids"), path)
     got = [tuple(r) for r in simple8b.read_ids(spark, str(tmp_path / "ids")).orderBy("start").collect()]
     tk = Tokenizer.from_file(path)
-    tk.encode_special_tokens = True
     want, at = [], 0
     for r in sorted(docs.collect(), key=lambda r: r.doc_id):
         ids = tk.encode(r.text or "", add_special_tokens=False).ids + [2]
