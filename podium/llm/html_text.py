@@ -7,8 +7,10 @@ page.  It is trained here, on pages made by rule from many layouts (``sample_pag
 
 Defined results: a null or empty page, or one without article blocks, has an empty text;
 character references are decoded once, white space in a block is one space, blocks join by
-one newline; broken markup (unclosed or stray tags) is read as far as it goes; scripts,
-styles, comments and the head are markup and never blocks; repeated rows are extracted
+one newline; of broken markup (unclosed or stray tags) only the tags are ignored, but for a
+script or style that never closes, which lasts to the page's end; scripts, styles, comments
+and the head are markup and never blocks; pages of any depth and length are read in time in
+proportion to their length, and labelled whole; repeated rows are extracted
 each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -16,9 +18,11 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,46 +41,75 @@ PATH_SLOTS, WORD_SLOTS, SHAPE = 512, 64, 8
 INPUT = PATH_SLOTS + WORD_SLOTS + SHAPE
 HIDDEN = 20
 TRAIN_PAGES, EPOCHS, BATCH = 1000, 10, 30
+#: Blocks that are labelled together, of several pages or of a part of a long one.
+LONG = 20_000
+
+
+class Path(NamedTuple):
+    """The elements around a block, by what the labeller reads of them: sizes do not grow with the depth."""
+
+    slots: int = 0  # a bit for each hashed name
+    last: tuple[str, ...] = ()  # the innermost four names
+    depth: int = 0
+
+    def inside(self, names: list[str]) -> Path:
+        slots = self.slots
+        for name in names:
+            slots |= 1 << zlib.crc32(name.encode()) % PATH_SLOTS
+        return Path(slots, (*self.last, *names)[-4:], self.depth + len(names))
 
 
 class _Blocks(HTMLParser):
-    def __init__(self) -> None:
+    CDATA_CONTENT_ELEMENTS = ("script", "style")
+    RCDATA_CONTENT_ELEMENTS = ()
+
+    def __init__(self, unclosed: frozenset[int] = frozenset()) -> None:
+        """``unclosed``: the markup elements, by their number, that never close and hide nothing."""
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
-        self.blocks: list[tuple[tuple[str, ...], str, int]] = []
+        self.unclosed, self.markup = unclosed, 0
+        self.stack: list[tuple[str, Path]] = []
+        self.open: Counter[str] = Counter()
+        self.hidden: list[tuple[str, int]] = []  # open markup elements and their numbers
+        self.blocks: list[tuple[Path, str, int]] = []
         self.parts: list[str] = []
-        self.links = self.skip = 0
-        self.path: tuple[str, ...] = ()
+        self.links = 0
+        self.path = Path()
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.blocks.append((self.path, text, self.links))
         self.parts, self.links = [], 0
-        self.path = tuple(x for _, names in self.stack for x in names)
+        self.path = self.stack[-1][1] if self.stack else Path()
+
+    def pop(self) -> str:
+        tag, _ = self.stack.pop()
+        self.open[tag] -= 1
+        return tag
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.skip:
-            self.skip += tag in MARKUP
-            return
         if tag in MARKUP:
-            if tag != "head":
-                self.skip = 1
+            self.markup += 1
+            if tag != "head" and self.markup not in self.unclosed:
+                self.hidden.append((tag, self.markup))
+            return
+        if self.hidden:
             return
         if tag in INLINE:
             if tag == "a":
                 self.links += 1
             return
         if tag not in ("br", "hr") and self.stack and self.stack[-1][0] == "p":
-            self.stack.pop()
+            self.pop()
         if tag in ("li", "option", "dt", "dd", "tr", "td", "th") and self.stack and self.stack[-1][0] == tag:
-            self.stack.pop()
+            self.pop()
         if tag not in VOID:
             names = [tag]
             for key, value in attrs:
                 if key in ("class", "id", "role") and value:
                     names += [f".{x}" for x in value.lower().replace("_", "-").replace("-", " ").split()]
-            self.stack.append((tag, tuple(names)))
+            self.stack.append((tag, (self.stack[-1][1] if self.stack else Path()).inside(names)))
+            self.open[tag] += 1
         self.flush()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -87,46 +120,50 @@ class _Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skip:
-            self.skip -= tag in MARKUP
+        if tag in MARKUP:
+            if any(name == tag for name, _ in self.hidden[-64:]):  # what was opened inside goes with it
+                while self.hidden.pop()[0] != tag:
+                    pass
             return
-        if tag in INLINE or tag in MARKUP or tag in VOID:
+        if self.hidden or tag in INLINE or tag in VOID:
             return
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                break
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
         self.flush()
 
     def handle_data(self, data: str) -> None:
-        if not self.skip:
+        if not self.hidden:
             self.parts.append(data)
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
+def blocks(html: str) -> list[tuple[Path, str, int]]:
     """(tag path, text, links) of the page's leaf blocks in page order."""
-    parser = _Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    unclosed: frozenset[int] = frozenset()
+    for _ in range(2):
+        parser = _Blocks(unclosed)
+        parser.feed(html)
+        parser.close()
+        parser.flush()
+        unclosed = frozenset(number for tag, number in parser.hidden if tag not in parser.CDATA_CONTENT_ELEMENTS)
+        if not unclosed:
+            break
     return parser.blocks
 
 
-def vectors(page: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
+def vectors(page: list[tuple[Path, str, int]]) -> np.ndarray:
     """Hashed tag-path and word vectors and a few shape values, a row a block."""
     out = np.zeros((len(page), INPUT), np.float32)
     crc = zlib.crc32
     for row, (path, text, links) in zip(out, page):
-        for name in path:
-            row[crc(name.encode()) % PATH_SLOTS] = 1
-        for name in path[-4:]:  # the innermost elements once more, as such
+        row[:PATH_SLOTS] = np.unpackbits(np.frombuffer(path.slots.to_bytes(PATH_SLOTS // 8, "little"), np.uint8), bitorder="little")
+        for name in path.last:  # the innermost elements once more, as such
             row[crc(f"{name}<".encode()) % PATH_SLOTS] = 1
-        words = text.lower().split()
-        for word in words[:40]:
-            row[PATH_SLOTS + crc(word.encode()) % WORD_SLOTS] += 1
-        row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] /= max(1, min(len(words), 40)) * 2
+        words = text.lower().encode().split()
         n = len(words)
-        row[-SHAPE:] = [n < 4, n < 10, n > 25, min(links, n) / max(n, 1), text[-1] in ".!?", len(path) / 10, np.log1p(n) / 6, 1]
+        slots = np.fromiter(map(crc, words), np.uint32, n) % WORD_SLOTS
+        row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = np.bincount(slots, minlength=WORD_SLOTS) / (2 * max(1, n))
+        row[-SHAPE:] = [n < 4, n < 10, n > 25, min(links, n) / max(n, 1), text[-1] in ".!?", path.depth / 10, np.log1p(n) / 6, 1]
     return out
 
 
@@ -148,11 +185,13 @@ class Labeller:
         self.p["o"] = (rng.standard_normal(2 * HIDDEN) * 0.1).astype(np.float32)
         self.p["z"] = np.zeros(1, np.float32)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> np.ndarray:
+    def _before(self, x: np.ndarray, d: str) -> np.ndarray:
+        """What the blocks themselves bring to the gates."""
+        return (x.reshape(-1, INPUT) @ self.p[f"w{d}"] + self.p[f"c{d}"]).reshape(*x.shape[:2], -1)
+
+    def _run(self, pre: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> np.ndarray:
         """States (pages, blocks, HIDDEN) of one direction; padding leaves the state as it is."""
-        pages, steps, _ = x.shape
-        pre = x.reshape(-1, INPUT) @ self.p[f"w{d}"] + self.p[f"c{d}"]
-        pre = pre.reshape(pages, steps, -1)
+        pages, steps, _ = pre.shape
         h = np.zeros((pages, HIDDEN), np.float32)
         c = np.zeros_like(h)
         out = np.zeros((pages, steps, HIDDEN), np.float32)
@@ -172,12 +211,21 @@ class Labeller:
         return out
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._run(x, mask, "f", None), self._run(x, mask, "b", None)], axis=2)
+        both = np.concatenate([self._run(self._before(x, d), mask, d, None) for d in "fb"], axis=2)
         return both @ self.p["o"] + self.p["z"]
 
+    def long_scores(self, page: list[tuple[Path, str, int]]) -> np.ndarray:
+        """The same for one page of very many blocks, whose vectors are made a part at a time."""
+        score = np.full(len(page), self.p["z"][0], np.float32)
+        for k, d in enumerate("fb"):
+            parts = [self._before(vectors(page[at : at + LONG])[None], d) for at in range(0, len(page), LONG)]
+            states = self._run(np.concatenate(parts, axis=1), np.ones((1, len(page)), np.float32), d, None)
+            score += states[0] @ self.p["o"][k * HIDDEN : (k + 1) * HIDDEN]
+        return score
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         kept: dict[str, list] = {"f": [], "b": []}
-        states = {d: self._run(x, mask, d, kept[d]) for d in "fb"}
+        states = {d: self._run(self._before(x, d), mask, d, kept[d]) for d in "fb"}
         both = np.concatenate([states["f"], states["b"]], axis=2)
         error = (_sigmoid(both @ self.p["o"] + self.p["z"]) - y) * mask / mask.sum()
         grads = {"o": np.einsum("pt,pth->h", error, both), "z": np.array([error.sum()])}
@@ -209,10 +257,12 @@ class Labeller:
         step = 0
         for epoch in range(epochs):
             order = rng.permutation(len(pages))
-            for at in range(0, len(order), BATCH):
-                x, mask = padded([pages[i][0] for i in order[at : at + BATCH]])
+            lots = [sorted(order[at : at + 10 * BATCH], key=lambda i: len(pages[i][1])) for at in range(0, len(order), 10 * BATCH)]
+            batches = [lot[at : at + BATCH] for lot in lots for at in range(0, len(lot), BATCH)]  # of like lengths: little padding
+            for k in rng.permutation(len(batches)):
+                x, mask = padded([pages[i][0] for i in batches[k]])
                 y = np.zeros(mask.shape, np.float32)
-                for row, i in zip(y, order[at : at + BATCH]):
+                for row, i in zip(y, batches[k]):
                     row[: len(pages[i][1])] = pages[i][1]
                 step += 1
                 for k, g in self.gradients(x, mask, y).items():
@@ -352,10 +402,13 @@ def extract(pages: list[str], model: Labeller) -> list[str]:
     order = sorted((k for k in range(len(pages)) if parsed[k]), key=lambda k: len(parsed[k]))
     at = 0
     while at < len(order):
-        size = max(1, min(64, 20000 // len(parsed[order[min(at + 63, len(order) - 1)]])))
+        size = max(1, min(64, LONG // len(parsed[order[min(at + 63, len(order) - 1)]])))
         group = order[at : at + size]
         at += size
-        scores = model.scores(*padded([vectors(parsed[k]) for k in group]))
+        if len(parsed[group[0]]) > LONG:
+            scores = [model.long_scores(parsed[group[0]])]
+        else:
+            scores = model.scores(*padded([vectors(parsed[k]) for k in group]))
         for k, row in zip(group, scores):
             out[k] = "\n".join(text for (_, text, _), score in zip(parsed[k], row) if score >= 0)
     return out
