@@ -1,4 +1,6 @@
 import random
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -34,6 +36,60 @@ def test_extract(model):
     )
 
 
+def test_unclosed_markup_hides_nothing(model):
+    page = "<article><p>one</p>%s<p>two words here</p><p>three</p></article>"
+    for tag in ("iframe src=x", "noscript", "object", "svg", "canvas", "template", "title"):
+        got = [text for _, text, _ in html_text.blocks(page % f"<{tag}>")]
+        assert got == ["one", "two words here", "three"], tag
+        assert [text for _, text, _ in html_text.blocks(page % f"<{tag}><p>hidden</p></{tag.split()[0]}>")] == ["one", "two words here", "three"]
+    assert [t for _, t, _ in html_text.blocks(page % "<noscript><iframe></noscript><svg><p>kept</p>")] == ["one", "kept", "two words here", "three"]
+    assert [t for _, t, _ in html_text.blocks(page % "<script>if (a < b) {")] == ["one"]
+
+
+def test_all_words_of_a_block_count():
+    head = "word " * 40
+    a, b = (html_text.vectors([(html_text.Path(), (head + tail).strip(), 0)]) for tail in ("alpha beta " * 30, "gamma delta " * 30))
+    assert (a != b).any()
+
+
+def test_time_grows_with_the_length():
+    def took(html):
+        at = time.process_time()
+        found = html_text.blocks(html)
+        html_text.vectors(found)
+        return time.process_time() - at
+
+    for unit in ("<div>x", "<div>x</span></p>", "<svg>x"):
+        took(unit * 2000)
+        small, large = (min(took(unit * n) for _ in range(3)) for n in (4000, 16000))
+        assert large < 10 * small, unit
+
+
+def test_a_long_page_is_labelled_whole(model, monkeypatch):
+    page = PAGE.replace("<ul><li>item one", "".join(f"<p>paragraph {i} of many more words.</p>" for i in range(500)) + "<ul><li>item one")
+    whole = html_text.extract([page], model)
+    monkeypatch.setattr(html_text, "LONG", 64)
+    assert html_text.extract([page, PAGE], model)[0] == whole[0] and whole[0].count("paragraph") == 500
+
+
+def test_query_keeps_articles_and_drops_the_rest(spark):
+    """Against the pages' own markup: every paragraph of an article is kept, nothing of footers, adverts and navigation."""
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    rows = html_text.op5_html_extraction(spark, folder).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages) and all(r.n_chars == len(r.text) for r in rows)
+    right = total = 0
+    for r in rows:
+        kept = r.text.split("\n")
+        for path, text, _ in html_text.blocks(pages[r.page_id]):
+            inside = lambda name: path.slots >> zlib.crc32(name.encode()) % html_text.PATH_SLOTS & 1
+            if path.last and path.last[0] in ("footer", "nav"):
+                total, right = total + 1, right + (text not in kept)
+            elif inside("article") and path.last[-1] == "p" and not inside("aside") and not inside("footer"):
+                total, right = total + 1, right + (text in kept)
+    assert total > 200 and right / total > 0.97
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     net = html_text.Labeller()
@@ -111,6 +167,29 @@ def test_search_prunes():
     assert seen[0] < 20 * 4000 * 0.5
 
 
+def test_cells_rule_each_other_out(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((12, 16)) * 3
+    made = centres[rng.integers(0, 12, 3000)] + rng.standard_normal((3000, 16)) * 0.02
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in enumerate(made)], "vec_id long, embedding array<double>")
+    index = mtree.index(df, 100)
+    cells = index.cells[16]
+    whole = np.floor(made * 256)
+    visited = 0
+    for q in range(0, 3000, 50):
+        scores = np.sort(whole @ whole[q])[-6]
+        visited += len(cells.within(whole[q], float(scores)))
+    assert len(cells.pivots) == 30 and visited < 60 * 30 * 0.35
+    got = mtree.search(index, 50, 5).collect()
+    assert sorted(str((r.query_id, r["rank"], r.vec_id, r.score)) for r in got) == brute([(int(i), list(v)) for i, v in enumerate(made)], 50, 5)
+
+
+def test_query_matches_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    got = mtree.op6_mtree_top_k(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(str((r.query_id, r["rank"], r.vec_id, r.score)) for r in got) == brute(rows, 50, 5)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert mtree.search(mtree.index(df), 50, 5).count() == 0
