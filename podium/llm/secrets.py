@@ -7,7 +7,7 @@ the log-likelihood ratio is at least ``MIN_RATIO`` nats and ``MIN_RATIO_PER_CHAR
 character, and when it does not overlap a base span.
 
 Spark has no function for the places of all matches, so they come from the lengths of
-the matches and of what lies between them, added up in blocks: no step is quadratic in
+the matches and of what lies between them, added up in blocks of blocks: work grows with
 the number of matches of a long text.
 
 Defined results: a null text is empty and has no spans; repeated rows are reported each;
@@ -117,13 +117,25 @@ def located(text: Column, pattern: str) -> Column:
     def places(found: Column, between: Column) -> Column:
         steps = F.transform(found, lambda x, i: F.length(F.element_at(between, i + 1)) + F.when(i > 0, F.length(F.element_at(found, F.greatest(i, F.lit(1))))).otherwise(0))
 
+        def sums(values: Column) -> Column:
+            blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+            return F.transform(blocks, lambda k: _sum(F.slice(values, k * BLOCK + 1, BLOCK)))
+
+        def before(values: Column, i: Column, starts: Column) -> Column:
+            """The sum of the first ``i`` values, from those before each block."""
+            k = F.floor(i / BLOCK).cast("int")
+            return F.element_at(starts, k + 1) + _sum(F.slice(values, k * BLOCK + 1, i - k * BLOCK))
+
         def add_up(d: Column) -> Column:
-            blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), lambda k: _sum(F.slice(d, k * BLOCK + 1, BLOCK)))
-            return let(blocks, lambda b: let(F.transform(b, lambda x, k: _sum(F.slice(b, 1, k))), lambda starts: F.transform(found, lambda x, i: spot(d, starts, x, i))))
+            def spots(b: Column, c: Column) -> Column:
+                tops = F.transform(c, lambda x, k: _sum(F.slice(c, 1, k)))  # a value for BLOCK * BLOCK matches
+                starts = let(tops, lambda t: F.transform(b, lambda x, k: before(b, k, t)))
+                return let(starts, lambda s: F.transform(found, lambda x, i: spot(d, s, x, i)))
+
+            return let(sums(d), lambda b: let(sums(b), lambda c: spots(b, c)))
 
         def spot(d: Column, starts: Column, x: Column, i: Column) -> Column:
-            k = F.floor(i / BLOCK).cast("int")
-            s = F.element_at(starts, k + 1) + _sum(F.slice(d, k * BLOCK + 1, i - k * BLOCK + 1))
+            s = before(d, i, starts) + F.element_at(d, i + 1)
             return F.struct(s.alias("s"), (s + F.length(x)).alias("e"), x.alias("found"))
 
         return let(steps, add_up)
