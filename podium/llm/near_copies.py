@@ -1,19 +1,19 @@
-"""Groups of near copies: exact Jaccard similarity of word-shingle sets, by prefix filtering.
+"""SimHash near-dedup at a similarity: groups of texts whose shingle sets have a Jaccard similarity of 0.8 or more.
 
-Two texts are linked when their sets of ``SHINGLE``-word shingles have a Jaccard
-similarity of at least ``SIMILARITY``; linked texts form a group.  64-bit fingerprints
-cannot tell: at 0.8 they differ in about 10 bits and often in more, a budget at which
-the trie join compares everything with everything.
+At that similarity 64-bit fingerprints differ in about 10 bits, seldom in more than
+``MAX_BITS``.  With so large a budget the binary trie alone prunes little, so the trie is
+walked within blocks: texts that share one of ``BANDS`` keys, each the hash of ``ROWS``
+minima of the text's shingles.  Similar texts share one but for a chance of
+(1 - 0.8 ** ROWS) ** BANDS, texts with some passages in common seldom do.  Every pair that
+comes out is confirmed by the whole shingle sets before it counts.
 
-Every set is sorted by one order of all shingles.  If two sets of n and m shingles are
-similar, they share one within the first n - need + 1 of either, need being the least
-overlap.  Only these prefixes are joined, and no similar pair is missed, whatever the
-order; shingles that a sample shows to be frequent come last, so that they seldom
-bring texts together.  Pairs are then compared by their whole sets.
+Equal sets are one node from the start.  Pairs come in three rounds, so that large groups
+of copies cost rows in proportion to their size:
 
-Equal sets are one node from the start.  Nodes that share a shingle are first compared
-with the least node of that shingle; after that only nodes of different groups meet, so
-a large group costs rows in proportion to its size.
+1. each node with the least node among those that lead its blocks;
+2. each node with the leads of its blocks that are not of its group yet;
+3. in blocks that still hold several groups, the pairs of different groups within
+   ``MAX_BITS``, by the trie.  Subtries of one group are never compared with their like.
 
 Defined results: null and wordless texts have the empty set and are alike; a text of
 fewer words is one shingle; rows without a doc_id link like others but name a group only
@@ -28,20 +28,25 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.common import bounded, looked_up, map_batches, materialise, utf8
-from podium.llm.simhash import SEED, components, shingle_hashes
+from podium.llm.simhash import SEED, _pairs_within, components, majority, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
+#: Bits in which fingerprints of candidates may differ; keys of a text and minima in each.
+MAX_BITS, BANDS, ROWS = 18, 16, 3
+#: Members of a block that one task compares with as many others, on average at most.
+BLOCK_ROWS = 4096
 #: Rows (of two longs) whose sets are compared are broadcast up to this many, else shuffled.
 MOST_BROADCAST = 500_000
-#: Documents whose shingles are counted, and the count from which one comes last in the order.
-SAMPLE_ROWS, FREQUENT = 20_000, 4
+
+_MIX = np.random.default_rng(20).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -54,6 +59,18 @@ def alike(x: np.ndarray, y: np.ndarray, similarity: Fraction = SIMILARITY) -> bo
     return both * (similarity.numerator + similarity.denominator) >= similarity.numerator * (len(x) + len(y))
 
 
+def block_keys(values: np.ndarray) -> np.ndarray:
+    """One key a band, as signed longs; none for the empty set."""
+    if not len(values):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(values), 8192):
+        part = values[at : at + 8192, None] * _MIX[0]
+        least = np.minimum(least, (((part ^ (part >> np.uint64(29))) * _MIX[1]) >> np.uint64(7)).min(axis=0))
+    bands = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(bands)], np.uint64).view(np.int64)
+
+
 def text_hash(text: Column) -> Column:
     """With doc_id it tells rows apart: 64 bits, within one doc_id only."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -63,49 +80,26 @@ def _node(values: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(values.tobytes(), SEED)
 
 
-def frequent(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles of many documents of a sample, ascending.  They order the prefixes; results do not depend on them."""
-    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(text, shingle).view(np.int64) for text in utf8(batch, "text")]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["key"])
-
-    counts = sample.select("text").mapInArrow(map_batches(run), "key long").groupBy("key").count()
-    return np.sort(np.array([r["key"] for r in counts.where(F.col("count") >= FREQUENT).select("key").collect()], np.int64).view(np.uint64))
-
-
-def prefixes(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """doc_id, of (a hash of the text), node (hash of the whole set), n (its size), prefix (the shingles that similar sets must share one of)."""
-    last = docs.sparkSession.sparkContext.broadcast(frequent(docs, shingle))
-    p, q = similarity.numerator, similarity.denominator
+def described(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, of (a hash of the text), node (hash of the shingle set), n (its size), fp (its fingerprint), keys."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, sizes, heads = [], [], []
-        for text in utf8(batch, "text"):
-            values = shingles(text, shingle)
-            late = np.isin(values, last.value, assume_unique=True)
-            nodes.append(_node(values))
-            sizes.append(len(values))
-            heads.append(np.concatenate([values[~late], values[late]])[: len(values) - -(-len(values) * p // q) + 1].view(np.int64))
-        columns = [batch.column(0), batch.column(2), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "of", "node", "n", "prefix"])
+        sets = [shingles(text, shingle) for text in utf8(batch, "text")]
+        signed = lambda made: pa.array(np.array([made(x) for x in sets], np.uint64).view(np.int64))
+        columns = [batch.column(0), batch.column(2), signed(_node), pa.array([len(x) for x in sets], pa.int32()), signed(majority), pa.array([block_keys(x) for x in sets], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "of", "node", "n", "fp", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", text_hash(F.col("text")).alias("of"))
-    return rows.mapInArrow(map_batches(run), "doc_id long, of long, node long, n int, prefix array<long>")
+    return rows.mapInArrow(map_batches(run), "doc_id long, of long, node long, n int, fp long, keys array<long>")
 
 
-def _possible(a: str, b: str, similarity: Fraction) -> F.Column:
-    """False where sizes and places of a first shared shingle rule out the similarity."""
-    p, q = similarity.numerator, similarity.denominator
-    most = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
-    return most.cast("long") * (p + q) >= (F.col(f"{a}.n").cast("long") + F.col(f"{b}.n")) * p
+def _same_row(docs: DataFrame) -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash(docs["text"]) == F.col("__of"))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are similar."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     ids = distinct.join(wanted, "node").select(F.col("who.doc_id").alias("__id"), F.col("who.of").alias("__of"))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -114,7 +108,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "whole"])
 
     rows = docs.select("doc_id", "text").join(bounded(ids, MOST_BROADCAST), _same_row(docs), "left_semi")
-    sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole binary").dropDuplicates(["node"]), "sets")
     held = pairs.join(sets.select(F.col("node").alias("a"), F.col("whole").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("whole").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,31 +119,64 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
     return materialise(held.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
-def _same_row(docs: DataFrame) -> Column:
-    return F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash(docs["text"]) == F.col("__of"))
+def _trie_pairs(members: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs (a, b) of different groups of a block within ``MAX_BITS``; ``members``: key, node, n, fp, root.
+
+    Blocks are cut into parts of about ``BLOCK_ROWS``, and a task meets two parts.
+    """
+    parts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+    dealt = looked_up(members, parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "n", "fp", "root")
+    share = float(similarity)
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        sides = []
+        for part in (lo, hi):
+            side = pdf[pdf["part"] == part]
+            order = np.argsort(side["fp"].to_numpy(np.int64).view(np.uint64), kind="stable")
+            sides.append([side[c].to_numpy()[order] for c in ("fp", "node", "n", "root")])
+        (fx, nx, sx, rx), (fy, ny, sy, ry) = sides
+        empty = pd.DataFrame({"a": np.array([], np.int64), "b": np.array([], np.int64)})
+        if not len(fx) or not len(fy):
+            return empty
+        i, j = _pairs_within(fx.view(np.uint64), fy.view(np.uint64), lo == hi, 64, MAX_BITS, (rx, ry))
+        fits = np.minimum(sx[i], sy[j]) >= share * np.maximum(sx[i], sy[j])
+        a, b = nx[i][fits], ny[j][fits]
+        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return met.groupBy("key", "lo", "hi").applyInPandas(join, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, of, node), and for each node the ``first`` row of its group, a struct<nameless, doc_id, of>."""
-    rows = materialise(prefixes(docs, shingle, similarity), "prefixes")
+    rows = materialise(described(docs, shingle), "described")
     who = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "of")
-    distinct = materialise(rows.groupBy("node", "n").agg(F.min(who).alias("who"), F.min_by("prefix", who).alias("prefix")), "distinct")
-    keys = distinct.select("node", "n", F.posexplode("prefix").alias("at", "key"))
-    of_key = Window.partitionBy("key")
-    least = F.min(F.struct("node", "n", "at")).over(of_key)
-    shared = materialise(keys.select("*", least.alias("least"), F.count("*").over(of_key).alias("held")).where("held > 1").drop("held"), "shared")
-    near = shared.select(F.struct("node", "n", "at").alias("l"), F.col("least").alias("r")).where(F.col("l.node") != F.col("r.node"))
-    pairs = materialise(near.where(_possible("l", "r", similarity)).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "pairs")
-    links = _confirmed(pairs, docs, distinct, shingle, similarity)
-    roots = components(links)
-    placed = shared.select("node", "n", "at", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("open")).where("open").select("key")
-    still = materialise(placed.join(open_keys, "key", "left_semi"), "still")
-    met = still.alias("l").join(still.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.root") != F.col("r.root")) & _possible("l", "r", similarity))
-    more = materialise(met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    roots = components(links.union(_confirmed(more, docs, distinct, shingle, similarity)))
-    named = distinct.select("node", "who").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return rows.select("doc_id", "of", "node"), looked_up(named.select("node", "root"), named.groupBy("root").agg(F.min("who").alias("first")), "root").select("node", "first")
+    distinct = materialise(rows.groupBy("node", "n", "fp").agg(F.min(who).alias("who"), F.min_by("keys", who).alias("keys")), "distinct")
+    keys = distinct.select("node", "n", "fp", F.explode("keys").alias("key"))
+    leads = keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("held")).where("held > 1").drop("held")
+    shared = materialise(looked_up(keys, leads, "key"), "shared")
+    nodes = distinct.select("node")
+
+    def rooted(links: DataFrame) -> DataFrame:
+        return materialise(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+
+    first = materialise(shared.groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("b")).where("a <> b"), "pairs")
+    links = _confirmed(first, docs, distinct, shingle, similarity)
+    roots = rooted(links)
+    apart = looked_up(shared.select("node", "lead").distinct().join(roots, "node"), roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")), "lead")
+    second = materialise(apart.where("root <> lead_root").select(F.col("node").alias("a"), F.col("lead").alias("b")).join(first, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(_confirmed(second, docs, distinct, shingle, similarity))
+    roots = rooted(links)
+    placed = shared.select("key", "node", "n", "fp").join(roots, "node")
+    still = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("open")).where("open").select("key")
+    members = materialise(looked_up(placed, still, "key").select("key", "node", "n", "fp", "root"), "open")
+    third = _trie_pairs(members, similarity).join(first.union(second), ["a", "b"], "left_anti")
+    links = links.union(_confirmed(materialise(third, "pairs"), docs, distinct, shingle, similarity))
+    named = distinct.select("node", "who").join(rooted(links), "node")
+    firsts = looked_up(named.select("node", "root"), named.groupBy("root").agg(F.min("who").alias("first")), "root").select("node", "first")
+    return rows.select("doc_id", "of", "node"), firsts
 
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:

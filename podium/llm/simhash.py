@@ -58,7 +58,11 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """Of UTF-8 bytes, unsigned."""
-    values = shingle_hashes(text, shingle)
+    return majority(shingle_hashes(text, shingle))
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(values), 65536):
         part = values[at : at + 65536].view(np.uint8).reshape(-1, 8)
@@ -76,11 +80,18 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(map_batches(run), "doc_id long, fp long")
 
 
-def _pairs_within(x: np.ndarray, y: np.ndarray, same: bool, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two sorted subtries that differ in at most ``budget`` of the lower ``bits`` bits."""
+def _pairs_within(x: np.ndarray, y: np.ndarray, same: bool, bits: int, budget: int, groups: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of two sorted subtries that differ in at most ``budget`` of the lower ``bits`` bits.
+
+    ``groups``: of the members of both; pairs within one group are not wanted, and nodes that
+    hold one group only are not compared with their like.
+    """
     one = np.ones(1, np.int64)
     frontier = [one * 0, one * len(x), one * 0, one * len(y), one * budget]
     found_x, found_y = [], []
+    if groups is not None:
+        gx, gy = groups
+        changes_x, changes_y = (np.concatenate(([0], np.cumsum(g[1:] != g[:-1]))) for g in groups)
 
     def compare(node: list[np.ndarray]) -> None:
         xl, xh, yl, yh, left = node
@@ -92,11 +103,16 @@ def _pairs_within(x: np.ndarray, y: np.ndarray, same: bool, bits: int, budget: i
         near = np.bitwise_count((x[i] ^ y[j]) & np.uint64((1 << bits) - 1)) <= budget
         if same:
             near &= i < j
+        if groups is not None:
+            near &= gx[i] != gy[j]
         found_x.append(i[near])
         found_y.append(j[near])
 
     for bit in range(bits - 1, -2, -1):
         xl, xh, yl, yh, left = frontier
+        if groups is not None:
+            alike = (changes_x[xh - 1] == changes_x[xl]) & (changes_y[yh - 1] == changes_y[yl]) & (gx[xl] == gy[yl])
+            xl, xh, yl, yh, left = frontier = [column[~alike] for column in frontier]
         small = ((xh - xl) * (yh - yl) <= PAGE) | (bit < 0)
         if small.any():
             for part in np.array_split(np.flatnonzero(small), max(1, int(small.sum()) // 20000)):

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pytest
 from podium.llm import common, near_copies, simhash
 from pyspark.sql import functions as F
 
@@ -37,12 +39,12 @@ def texts():
     return out
 
 
-def test_groups_match_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("block", [4096, 3])
+def test_groups_match_brute_force(spark, monkeypatch, block):
     data = [(i * 7 % 1009, t) for i, t in enumerate(texts())]
     docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
     want = sorted(zip([d for d, _ in data], brute_groups(data)))
-    assert sorted(tuple(r) for r in near_copies.groups(docs).collect()) == want
-    monkeypatch.setattr(near_copies, "FREQUENT", 10**9)  # the order of the shingles changes nothing
+    monkeypatch.setattr(near_copies, "BLOCK_ROWS", block)  # blocks in parts
     assert sorted(tuple(r) for r in near_copies.groups(docs).collect()) == want
 
 
@@ -74,3 +76,16 @@ def test_hot_keys_meet_a_broadcast(spark):
     got = common.looked_up(rows, lookup, "key")
     assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
     assert sorted(tuple(r) for r in got.collect()) == sorted((7 if i < 2500 else i, i, 14 if i < 2500 else 2 * i) for i in range(4000))
+
+
+def test_trie_pairs_of_different_groups():
+    rng = np.random.default_rng(4)
+    seeds = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
+    values = np.sort(np.concatenate([seeds, seeds, *[seeds ^ (np.uint64(1) << rng.integers(0, 64, 30, dtype=np.uint64)) for _ in range(6)]]))
+    groups = rng.integers(0, 4, len(values))
+    for budget in (0, 2, 18):
+        i, j = simhash._pairs_within(values, values, True, 64, budget, (groups, groups))
+        want = {(a, b) for a in range(len(values)) for b in range(a + 1, len(values)) if groups[a] != groups[b] and (int(values[a]) ^ int(values[b])).bit_count() <= budget}
+        assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
+    one = np.zeros(len(values), int)
+    assert len(simhash._pairs_within(values, values, True, 64, 18, (one, one))[0]) == 0
