@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from podium.operators import fact_store, matching
+from podium.operators import fact_store, matching, merging
 from podium.operators import relational as R
 
 
@@ -118,3 +118,24 @@ def test_ranks_by_ranges_equal_plain_ones(spark, ranges, descending):
         assert collected(got, "i", "r") == collected(want, "i", "r")
         assert collected(R.range_ranked(df, [], "v", "r", descending, average, ranges), "i", "r") == collected(df.withColumn("r", plain(F.col("v"), [], descending)), "i", "r")
     assert R.range_ranked(df.where("false"), ["k"], "v").count() == 0
+
+
+def test_merges(spark):
+    left = spark.createDataFrame([(1, "a", None), (2, None, 5), (3, "c", 7)], "id int, x string, y int")
+    right = spark.createDataFrame([(1, "z", 9), (2, "b", 8)], "id int, x string, y int")
+    assert collected(merging.merged(left, right, ["id"]), "id", "x", "y") == sorted([(1, "a", 9), (2, "b", 5), (3, "c", 7)], key=str)
+    assert collected(merging.unique_left_join(left.select("id"), right, ["id"]), "id", "x") == sorted([(1, "z"), (2, "b"), (3, None)], key=str)
+    with pytest.raises(Exception, match="repeated key"):
+        merging.unique_left_join(left.select("id"), right.union(right), ["id"]).collect()
+    with pytest.raises(Exception, match="ids differ"):
+        merging.consistent_left_join(left, right.select("id", F.col("x").alias("other")), ["id"], "x", "other").collect()
+    rows = spark.createDataFrame([(1, 3, "c", ["p"]), (1, 1, None, ["q", "r"]), (1, 2, "b", None), (1, 4, "d", ["r", "s"])], "id int, at int, v string, l array<string>")
+    got = rows.groupBy("id").agg(merging.first_present(F.col("v"), F.col("at")).alias("v"), merging.united(F.col("l"), F.col("at"), 3).alias("l"), merging.longest(F.col("v")).alias("n")).first()
+    assert (got.v, got.l, got.n) == ("b", ["q", "r", "p"], "d")
+
+
+def test_identities(spark):
+    seeds = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "D")], "seed int, expected string")
+    candidates = spark.createDataFrame([(1, 10, 2, "A"), (1, 11, 1, "X"), (1, 12, 4, "A"), (2, 20, 4, "B"), (2, 21, 4, "B"), (3, 30, 4, "C")], "seed int, record int, priority int, found string")
+    got = {r.seed: (r.record, r.failure is None) for r in matching.identities(seeds, candidates, F.col("expected") == F.col("found"), 4).collect()}
+    assert got == {1: (10, True), 2: (None, False), 3: (30, True), 4: (None, False)}

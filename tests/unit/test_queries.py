@@ -49,3 +49,17 @@ def test_entry(spark):
 def test_entry_lives_without_the_subpackage():
     code = "import sys; sys.modules['podium.llm'] = None; import __spark_entry__ as e; assert 'consensus_percentile' in e.queries() and not any(k.startswith('op') for k in e.queries()) and 'pipeline' not in e.queries(); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_entry_lives_with_an_emptied_subpackage(tmp_path):
+    """The folder is there, its modules are not: a leftover cache is enough to make it a namespace."""
+    import pathlib
+    import shutil
+
+    root = pathlib.Path(__file__).parents[2]
+    shutil.copytree(root / "podium", tmp_path / "podium", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "podium" / "llm" / "__pycache__").mkdir(parents=True)
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text("from podium.llm import decontaminate\n")
+    code = "import __spark_entry__ as e; assert 'consensus_percentile' in e.queries() and 'pipeline' not in e.queries() and not any(k.startswith('op') for k in e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
