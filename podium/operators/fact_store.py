@@ -6,9 +6,11 @@ Observations have entity, metric, frame (period and scope), value, source, prior
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.functions.facts import stable_id
+
 STRONG, LEAD = 80, 25
 
 
@@ -74,3 +76,41 @@ def violations(checks: dict[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def build(observed: DataFrame, metrics: DataFrame) -> dict[str, DataFrame]:
+    """The five tables of a fact dataset: sources, institutions, metrics, observations, canonical.
+
+    ``observed`` has entity, metric, frame, value, source, retrieved, priority and score.  Ids are
+    made of what they stand for, so the same facts have the same ids in every build; the same
+    observation found twice is one row, with its best score and latest retrieval.  A canonical
+    row points at the best observation that holds its value.
+    """
+    source_id = lambda: stable_id("src_", F.col("source"))
+    own = ["entity", "metric", "frame", "value", "source"]
+    once = observed.groupBy(*own, "priority").agg(F.max("score").alias("score"), F.max("retrieved").alias("retrieved"))
+    observations = once.withColumns({"source_id": source_id(), "observation_id": stable_id("obs_", *[F.col(c) for c in own])})
+    sources = once.groupBy("source").agg(F.max("retrieved").alias("retrieved"), F.count("*").alias("observations")).withColumn("source_id", source_id())
+    institutions = once.groupBy("entity").agg(F.count("*").alias("observations"), F.countDistinct("metric").alias("metrics"))
+    best = observations.groupBy("entity", "metric", "value").agg(F.max_by("observation_id", F.struct(-F.col("priority"), "score", "observation_id")).alias("observation_id"))
+    canonical = select_canonical(observations).join(best, ["entity", "metric", "value"])
+    return {"sources": sources, "institutions": institutions, "metrics": metrics, "observations": observations.drop("source"), "canonical": canonical}
+
+
+def faults(dataset: dict[str, DataFrame], plausible: Column) -> DataFrame:
+    """(check, bad_rows): what must not be in a dataset; ``plausible`` reads metric and value."""
+    observations, canonical = dataset["observations"], dataset["canonical"]
+    named = canonical.select("entity", "metric", "observation_id", F.col("value").alias("chosen"))
+    held = observations.select("observation_id", F.col("entity").alias("of_entity"), F.col("metric").alias("of_metric"), F.col("value").alias("of_value"))
+    differ = ~(F.col("entity").eqNullSafe(F.col("of_entity")) & F.col("metric").eqNullSafe(F.col("of_metric")) & F.col("chosen").eqNullSafe(F.col("of_value")))
+    return violations({
+        "repeated observation id": repeated_keys(observations, ["observation_id"]),
+        "repeated source id": repeated_keys(dataset["sources"], ["source_id"]),
+        "several canonical values": repeated_keys(canonical, ["entity", "metric"]),
+        "observation without source": orphans(observations, dataset["sources"], "source_id", "source_id"),
+        "observation without institution": orphans(observations, dataset["institutions"], "entity", "entity"),
+        "observation of an unknown metric": orphans(observations, dataset["metrics"], "metric", "metric"),
+        "canonical value without observation": orphans(canonical, observations, "observation_id", "observation_id"),
+        "canonical value that its observation does not hold": named.join(held, "observation_id").where(differ),
+        "implausible value": observations.where(~plausible),
+    })

@@ -100,3 +100,14 @@ def conversation_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     told = table(spark, sf_dir, "conversations").withColumn("before", F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn")))
     return told.groupBy("conv_id").agg(F.count("*").alias("turns"), F.count_if(F.col("role") == F.col("before")).alias("repeated_roles"), F.min_by("role", "turn").alias("first_role"))
+
+
+@query("""WITH b AS (SELECT page_id, unnest(regexp_split_to_array(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<template\\b[^>]*>.*?</template\\s*>|<noscript\\b[^>]*>.*?</noscript\\s*>|<head\\b[^>]*>.*?</head\\s*>|<!--.*?-->', ' ', 'g'),
+'(?i)</?(?:p|div|li|ul|ol|h[1-6]|td|th|tr|table|article|section|header|footer|nav|aside|main|blockquote|br|hr|body|html|form|figure)\\b[^>]*>')) AS piece FROM pages),
+t AS (SELECT page_id, trim(regexp_replace(regexp_replace(piece, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS block FROM b WHERE NOT contains(piece, '&'))
+SELECT page_id, count(*) AS blocks, sum(length(block))::BIGINT AS chars, min(md5(block)) AS least FROM t WHERE length(block) BETWEEN 20 AND 700 GROUP BY 1""")
+def visible_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text blocks of pages that facts are looked for in; those without character references, which SQL cannot decode."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "&", "\u0001&").alias("html"))
+    found = D.visible_blocks(pages).where(~F.contains("block", F.lit("\u0001")))
+    return found.groupBy("page_id").agg(F.count("*").alias("blocks"), F.sum(F.length("block")).alias("chars"), F.min(F.md5("block")).alias("least"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +78,45 @@ def plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT s_suppkey, 'src_' || substr(sha256('{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '"}'), 1, 24) AS id FROM supplier""")
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", facts.stable_id("src_", F.col("s_suppkey"), F.col("s_name")).alias("id"))
+
+
+BUILT = OBSERVED + """, o AS (SELECT DISTINCT entity, metric, frame, value, priority, 'page-' || event_id % 13 AS source FROM obs)"""
+
+
+def _dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    rows = _observations(spark, sf_dir).withColumns({"source": F.concat(F.lit("page-"), (F.col("event_id") % 13).cast("string")), "retrieved": F.col("frame")})
+    metrics = rows.select("metric").distinct()
+    return fact_store.build(rows.drop("event_id"), metrics)
+
+
+@query(f"""WITH {CANONICAL}, obs5 AS (SELECT DISTINCT entity, metric, frame, value, priority, 'page-' || event_id % 13 AS source FROM obs)
+SELECT 'sources' AS part, count(DISTINCT source) AS n FROM obs5 UNION ALL SELECT 'institutions', count(DISTINCT entity) FROM obs5 UNION ALL SELECT 'metrics', count(DISTINCT metric) FROM obs5
+UNION ALL SELECT 'observations', count(*) FROM obs5 UNION ALL SELECT 'canonical', count(*) FROM canon""")
+def fact_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the tables of a built dataset have."""
+    parts = [df.agg(F.lit(name).alias("part"), F.count("*").alias("n")) for name, df in _dataset(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"""WITH {BUILT}, ids AS (SELECT entity, metric, frame, value, source, count(*) AS n FROM o GROUP BY ALL) SELECT 'repeated observation id' AS "check", count(*) FILTER (WHERE n > 1) AS bad_rows FROM ids
+UNION ALL SELECT unnest(['repeated source id', 'several canonical values', 'observation without institution', 'canonical value without observation', 'canonical value that its observation does not hold']), 0
+UNION ALL SELECT 'observation without source', count(*) FROM o WHERE source = 'page-3' UNION ALL SELECT 'observation of an unknown metric', count(*) FROM o WHERE metric = 'error' UNION ALL SELECT 'implausible value', count(*) FROM o WHERE value > 8""")
+def fact_dataset_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a dataset that lost a source and a metric."""
+    built = _dataset(spark, sf_dir)
+    hurt = built | {"sources": built["sources"].where("source <> 'page-3'"), "metrics": built["metrics"].where("metric <> 'error'")}
+    return fact_store.faults(hurt, F.col("value") <= 8)
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 1800 + s_suppkey % 150 WHEN 4 THEN 1900 + s_suppkey % 100 END AS year FROM supplier""")
+def recovered_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of founding out of running text: after the name, unless several or about a part."""
+    k, year = F.col("s_suppkey") % 5, (1800 + F.col("s_suppkey") % 150).cast("string")
+    text = (
+        F.when(k == 0, F.concat(F.lit("It all began: "), "s_name", F.lit(" was founded on a hill in "), year, F.lit(".")))
+        .when(k == 1, F.concat("s_name", F.lit(", its School of Law since "), year))
+        .when(k == 2, F.concat("s_name", F.lit(" of 1850. "), "s_name", F.lit(" of 1960.")))
+        .when(k == 3, F.concat("s_name", F.lit(" "), F.repeat(F.lit("x"), F.lit(90)), F.lit(" 1900")))
+        .otherwise(F.concat("s_name", F.lit(" library since 1850; "), "s_name", F.lit(" itself since "), (1900 + F.col("s_suppkey") % 100).cast("string")))
+    )
+    return table(spark, sf_dir, "supplier").select("s_suppkey", facts.recovered_year(text, F.col("s_name")).alias("year"))

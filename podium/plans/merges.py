@@ -156,7 +156,7 @@ def subject_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH s AS ({SCOPES}), first(scope, year) AS (VALUES ('economy', 1997), ('promo', 1999), ('academic-promo', 2003)) SELECT p_partkey, s.scope AS ranking_scope FROM s LEFT JOIN first ON s.scope = first.scope WHERE coalesce(first.year, 1998) <= 1998""")
-def open_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def subjects_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scopes that existed in 1998."""
     launches = spark.createDataFrame([("economy", 1997), ("promo", 1999), ("academic-promo", 2003)], "ranking_scope string, first_year int")
     return snapshots.open_scopes(_scopes(spark, sf_dir).drop("year"), launches, 1998)
@@ -248,3 +248,38 @@ def registry_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("seed"), F.col("c_nationkey").alias("expected"))
     candidates = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("seed"), F.col("o_orderkey").alias("record"), kind.alias("priority"), (F.col("o_orderkey") % 25).alias("found"))
     return matching.identities(seeds, candidates, F.abs(F.col("expected") - F.col("found")) <= 6, unique_from=4)
+
+
+@query("""WITH c AS (SELECT o_custkey AS entity, 'https://s' || o_orderkey % 9 || '.edu' AS site, min(o_orderkey) AS priority, bool_or(o_orderstatus = 'O') AS answered FROM orders GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY priority) AS k FROM c WHERE answered)
+SELECT entity, (SELECT site FROM k WHERE k.entity = c.entity AND k = 1) AS website, (SELECT count(*) FROM k WHERE k.entity = c.entity AND k > 1) AS others, count(*) FILTER (WHERE NOT answered) AS failed FROM c GROUP BY entity""")
+def website_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An entity's website: the first candidate that answered; what else answered and what failed is counted as warnings."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity"), F.concat(F.lit("https://s"), (F.col("o_orderkey") % 9).cast("string"), F.lit(".edu")).alias("site"), "o_orderkey", "o_orderstatus")
+    candidates = rows.groupBy("entity", "site").agg(F.min("o_orderkey").alias("priority"), F.max(F.col("o_orderstatus") == "O").alias("answered"))
+    return candidates.groupBy("entity").agg(
+        F.min_by("site", F.when(F.col("answered"), F.col("priority"))).alias("website"),
+        F.greatest(F.count_if("answered") - 1, F.lit(0)).alias("others"), F.count_if(~F.col("answered")).alias("failed"),
+    )
+
+
+@query("""WITH ind AS (SELECT l_suppkey AS entity, sum(CAST(l_quantity AS DECIMAL(18,2))) AS scale, round_even(sum(CAST(l_discount AS DECIMAL(18,2)))::DOUBLE / count(*), 9) AS impact FROM lineitem GROUP BY 1),
+r AS (SELECT entity, rank() OVER (ORDER BY scale DESC) AS a, rank() OVER (ORDER BY impact DESC) AS b FROM ind) SELECT count(*) FILTER (WHERE a <= 50 AND b <= 50) AS in_both, count(*) FILTER (WHERE a <= 50) AS large, max(b) FILTER (WHERE a <= 10) AS lowest, count(*) AS n FROM r""")
+def scale_impact_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the largest are also the strongest."""
+    items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("entity")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("scale"), F.bround(F.sum(F.col("l_discount").cast("decimal(18,2)")).cast("double") / F.count("*"), 9).alias("impact"),
+    )
+    placed = R.range_ranked(R.range_ranked(items, [], "scale", "a"), [], "impact", "b")
+    return placed.agg(merging.in_both(F.col("a"), F.col("b"), 50).alias("in_both"), F.count_if(F.col("a") <= 50).alias("large"), F.max(F.when(F.col("a") <= 10, F.col("b"))).alias("lowest"), F.count("*").alias("n"))
+
+
+@query(f"""WITH {RANKED}, {NATIONS}, m AS (SELECT country, count(*) FILTER (WHERE rank <= 100) AS top100, min(rank) AS best, round_even(avg(rank), 6) AS mean, count(DISTINCT entity) AS entities FROM ranked JOIN nations USING (entity) GROUP BY 1),
+o AS (SELECT country, count(*) AS orders FROM orders JOIN nations ON o_custkey = entity GROUP BY 1) SELECT country, top100, best, mean, entities, orders FROM m JOIN o USING (country)""")
+def country_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Further metrics of a country: places, the best and mean rank, entities and volume."""
+    where = nations(spark, sf_dir)
+    rows = ranked(spark, sf_dir).join(where, "entity")
+    per = rows.groupBy("country").agg(F.count_if(F.col("rank") <= 100).alias("top100"), F.min("rank").alias("best"), F.bround(F.avg("rank"), 6).alias("mean"), F.countDistinct("entity").alias("entities"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity")).join(where, "entity").groupBy("country").agg(F.count("*").alias("orders"))
+    return per.join(orders, "country")

@@ -79,6 +79,16 @@ def html_parts(pages: DataFrame, markup: str = "html") -> DataFrame:
     return pages.withColumns({"title": title, "description": F.when(described != "", decode_entities(described)), "links": links, "content_hash": F.sha2(markup, 256)})
 
 
+def visible_blocks(pages: DataFrame, markup: str = "html", shortest: int = 20, longest: int = 700) -> DataFrame:
+    """``place`` and ``block``, a row a visible text block of a page: scripts, styles and comments out, cut at block
+    elements, tags dropped, references decoded, blanks collapsed.  Shorter and longer blocks are menus and whole articles."""
+    bare = F.regexp_replace(markup, r"(?is)<(script|style|template|noscript|head)\b[^>]*>.*?</\1\s*>|<!--.*?-->", " ")
+    pieces = F.split(bare, r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|td|th|tr|table|article|section|header|footer|nav|aside|main|blockquote|br|hr|body|html|form|figure)\b[^>]*>")
+    rows = pages.select("*", F.posexplode(pieces).alias("place", "__piece"))
+    text = F.trim(F.regexp_replace(decode_entities(F.regexp_replace("__piece", "<[^>]*>", "")), r"\s+", " "))
+    return rows.withColumn("block", text).drop("__piece").where(F.length("block").between(shortest, longest))
+
+
 def sitemap_urls(documents: DataFrame, text: str) -> DataFrame:
     """Distinct <loc> entries, CDATA unwrapped, in order of appearance."""
     found = F.regexp_extract_all(text, F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))

@@ -11,14 +11,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from podium.operators.relational import numbered
+
 
 def upserted(existing: DataFrame, batch: DataFrame, scope_order: DataFrame | None = None, order: str = "__ord") -> DataFrame:
     """Rows of scopes that the batch does not refresh, then the batch; scopes in their configured order,
     unknown ones last.  ``__place`` numbers the rows of a scope."""
-    kept = existing.join(F.broadcast(batch.select("ranking_scope").distinct()), "ranking_scope", "left_anti")
+    kept = existing.join(batch.select("ranking_scope").distinct(), "ranking_scope", "left_anti")
     rows = kept.withColumn("__new", F.lit(0)).unionByName(batch.withColumn("__new", F.lit(1)), allowMissingColumns=True)
     if scope_order is not None:
-        rows = rows.join(F.broadcast(scope_order.select("ranking_scope", F.col("position").alias("__scope"))), "ranking_scope", "left")
+        rows = rows.join(scope_order.select("ranking_scope", F.col("position").alias("__scope")), "ranking_scope", "left")
     else:
         rows = rows.withColumn("__scope", F.lit(None).cast("int"))
     w = Window.partitionBy("ranking_scope").orderBy("__new", order)
@@ -33,7 +35,7 @@ def write_scopes(batch: DataFrame, path: str) -> None:
 
 def merged_failures(log: DataFrame, attempted: DataFrame, failures: DataFrame) -> DataFrame:
     """Old failures of scopes that were not tried again, and the new ones."""
-    return log.join(F.broadcast(attempted.select("ranking_scope").distinct()), "ranking_scope", "left_anti").unionByName(failures)
+    return log.join(attempted.select("ranking_scope").distinct(), "ranking_scope", "left_anti").unionByName(failures)
 
 
 def manifest(rows: DataFrame, keys: list[str], licences: DataFrame | None = None) -> DataFrame:
@@ -136,16 +138,13 @@ def write_details(df: DataFrame, path: str) -> DataFrame:
 
 
 def dictionary(df: DataFrame, value: str, order: str) -> DataFrame:
-    """(value, code): codes from 0 in order of first appearance.
-
-    One row a distinct value reaches the numbering, so it is for dimensions, not for facts.
-    """
-    firsts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(order).alias("__first"))
-    return firsts.withColumn("code", F.row_number().over(Window.orderBy("__first")) - 1).drop("__first")
+    """(value, code): codes from 0 in order of first appearance; ``order`` is numeric.  The values are numbered in ranges."""
+    firsts = df.where(F.col(value).isNotNull()).groupBy(value).agg((-F.min(order)).alias("__first"))
+    return numbered(firsts, "__first", [value], "code").select(value, (F.col("code") - 1).cast("int").alias("code"))
 
 
 def encoded(df: DataFrame, value: str, codes: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(codes.withColumnRenamed("code", f"{value}_code")), value, "left").drop(value)
+    return df.join(codes.withColumnRenamed("code", f"{value}_code"), value, "left").drop(value)
 
 
 def decoded(df: DataFrame, value: str, codes: DataFrame) -> DataFrame:
@@ -153,6 +152,6 @@ def decoded(df: DataFrame, value: str, codes: DataFrame) -> DataFrame:
     version) stays as it is."""
     if f"{value}_code" not in df.columns and value in df.columns:
         return df
-    out = df.join(F.broadcast(codes.withColumnRenamed("code", f"{value}_code")), f"{value}_code", "left")
+    out = df.join(codes.withColumnRenamed("code", f"{value}_code"), f"{value}_code", "left")
     bad = F.col(f"{value}_code").isNotNull() & F.col(value).isNull()
     return out.withColumn(value, F.when(bad, F.raise_error(F.lit(f"unknown {value} code")).cast("string")).otherwise(F.col(value))).drop(f"{value}_code")
