@@ -1,6 +1,6 @@
 """Names: folding, normalising, tokens and similarity.
 
-NFKD folding has no built-in, so it is an Arrow-batched pandas UDF; all else is built in.
+NFKD folding has no built-in, so it is an Arrow-batched pandas UDF for the rows that are not ASCII; all else is built in.
 """
 
 import html
@@ -39,28 +39,35 @@ def _ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
 
 
-def _mapped(function: Callable[[str], str], column: Column | str) -> Column:
-    """An Arrow-batched UDF; made where it is used, as workers import this module too."""
+def _mapped(function: Callable[[str], str], column: Column, needed: Column, plain: Column) -> Column:
+    """An Arrow-batched UDF for the rows that need it; the others stay in the JVM as ``plain``."""
 
-    def run(text: pd.Series) -> pd.Series:
+    def run(text: pd.Series) -> pd.Series:  # made where it is used, as workers import this module too
         return text.map(function, na_action="ignore")
 
-    return F.pandas_udf(run, "string")(column)
+    return F.when(needed, F.pandas_udf(run, "string")(F.when(needed, column))).otherwise(plain)
+
+
+def _is_ascii(column: Column) -> Column:
+    return F.length(column) == F.octet_length(column)
 
 
 def decode_entities(text: Column | str) -> Column:
     """Numeric references and the few named ones of ``ENTITIES``."""
-    return _mapped(_decode, text)
+    column = F.col(text) if isinstance(text, str) else text
+    return _mapped(_decode, column, F.contains(column, F.lit("&")), column)
 
 
 def fold(text: Column | str) -> Column:
     """Lower case without combining marks (NFKD); other letters stay."""
-    return _mapped(_fold, text)
+    column = F.col(text) if isinstance(text, str) else text
+    return _mapped(_fold, column, ~_is_ascii(column), F.lower(column))
 
 
 def ascii_fold(text: Column | str) -> Column:
     """NFKD without anything that is not ASCII."""
-    return _mapped(_ascii, text)
+    column = F.col(text) if isinstance(text, str) else text
+    return _mapped(_ascii, column, ~_is_ascii(column), column)
 
 
 def words(text: Column) -> Column:

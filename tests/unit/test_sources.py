@@ -91,7 +91,7 @@ def test_sinks_round_trip(spark, tmp_path):
     df = spark.sql("select 'a \"q\", b' as t, true as f, array(1, 2) as l, cast(null as string) as n")
     sinks.write_csv(df, str(tmp_path / "csv"))
     back = spark.read.options(header=True, escape='"').csv(str(tmp_path / "csv")).first()
-    assert tuple(back) == ('a "q", b', "True", "[1,2]", None)
+    assert tuple(back) == ('a "q", b', "True", "[1, 2]", None)
     sinks.write_json(spark.range(3), str(tmp_path / "x.json"))
     assert json.loads((tmp_path / "x.json").read_text()) == [{"id": 0}, {"id": 1}, {"id": 2}]
     with pytest.raises(ValueError):
