@@ -57,6 +57,8 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
 
 #: A key with more rows than this, and than one row in as many, is hot: there are at most so many hot keys.
 HOT_ROWS = 1000
+#: Below so many rows no key is looked for: all of them together are little for one task.
+HOT_TOTAL = 50_000
 
 
 def looked_up(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
@@ -65,10 +67,11 @@ def looked_up(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     Rows of hot keys would meet in one task, so they meet a broadcast instead: at most
     ``HOT_ROWS`` keys can have more than one row in ``HOT_ROWS`` each.  The others shuffle.
     """
-    counts = rows.groupBy(key).count()
     total = rows.count()
-    hot = counts.where(F.col("count") > max(HOT_ROWS, total / HOT_ROWS)).select(key)
-    names = [r[0] for r in hot.collect()] if total > HOT_ROWS else []  # HOT_ROWS at most
+    if total < HOT_TOTAL:
+        return rows.join(lookup, key)
+    hot = rows.groupBy(key).count().where(F.col("count") > max(HOT_ROWS, total / HOT_ROWS))
+    names = [r[0] for r in hot.collect()]  # HOT_ROWS at most
     if not names:
         return rows.join(lookup, key)
     is_hot = F.col(key).isin(names)

@@ -70,7 +70,8 @@ def test_rows_without_or_with_the_same_id(spark):
     assert near_copies.one_per_group(docs.where("false")).count() == 0
 
 
-def test_hot_keys_meet_a_broadcast(spark):
+def test_hot_keys_meet_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_TOTAL", 1000)
     rows = spark.range(5000).select("id", F.when(F.col("id") < 2500, F.lit(7)).otherwise(F.col("id")).cast("long").alias("key"))
     lookup = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
     got = common.looked_up(rows, lookup, "key")
