@@ -10,7 +10,7 @@ comes out is confirmed by the whole shingle sets before it counts.
 Equal sets are one node from the start.  Pairs come in three rounds, so that large groups
 of copies cost rows in proportion to their size:
 
-1. each node with the least node among those that lead its blocks;
+1. each node with one of those that lead its blocks: that which has most company in its own;
 2. each node with the leads of its blocks that are not of its group yet;
 3. in blocks that still hold several groups, the pairs of different groups within
    ``MAX_BITS``, by the trie.  Subtries of one group are never compared with their like.
@@ -113,8 +113,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [[np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3)]
-            yield batch.select([0, 1]).filter(pa.array([alike(x, y, similarity) for x, y in zip(*sides)], pa.bool_()))
+            same = [alike(*(np.frombuffer(batch.column(k)[row].as_buffer(), np.uint64) for k in (2, 3)), similarity) for row in range(batch.num_rows)]
+            yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
 
     return materialise(held.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
@@ -155,18 +155,25 @@ def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataF
     who = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "of")
     distinct = materialise(rows.groupBy("node", "n", "fp").agg(F.min(who).alias("who"), F.min_by("keys", who).alias("keys")), "distinct")
     keys = distinct.select("node", "n", "fp", F.explode("keys").alias("key"))
-    leads = keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("held")).where("held > 1").drop("held")
-    shared = materialise(looked_up(keys, leads, "key"), "shared")
+    held = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    met = materialise(looked_up(keys, held, "key"), "met")
+    # a text that others were made from is in more and larger blocks than they are: it leads them
+    weights = met.groupBy("node").agg(F.sum("held").alias("weight"))
+    weighed = materialise(met.drop("held").join(weights, "node"), "weighed")
+    leads = weighed.groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("minus"), F.col("node").alias("node"))).alias("l"))
+    shared = materialise(looked_up(weighed, leads.select("key", F.col("l.node").alias("lead"), F.col("l.weight").alias("lead_weight")), "key"), "shared")
     nodes = distinct.select("node")
 
     def rooted(links: DataFrame) -> DataFrame:
         return materialise(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
 
-    first = materialise(shared.groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("b")).where("a <> b"), "pairs")
+    pair = [F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")]
+    top = shared.groupBy("node").agg(F.max_by("lead", F.struct("lead_weight", F.bitwise_not("lead"))).alias("lead"))
+    first = materialise(top.where("node <> lead").select(*pair).distinct(), "pairs")
     links = _confirmed(first, docs, distinct, shingle, similarity)
     roots = rooted(links)
     apart = looked_up(shared.select("node", "lead").distinct().join(roots, "node"), roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")), "lead")
-    second = materialise(apart.where("root <> lead_root").select(F.col("node").alias("a"), F.col("lead").alias("b")).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = materialise(apart.where("root <> lead_root").select(*pair).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_confirmed(second, docs, distinct, shingle, similarity))
     roots = rooted(links)
     placed = shared.select("key", "node", "n", "fp").join(roots, "node")

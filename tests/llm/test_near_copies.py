@@ -90,3 +90,21 @@ def test_trie_pairs_of_different_groups():
         assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
     one = np.zeros(len(values), int)
     assert len(simhash._pairs_within(values, values, True, 64, 18, (one, one))[0]) == 0
+
+
+def test_variants_of_one_text_meet_at_it(spark, monkeypatch):
+    """Each is alike to the text they were made from, few are alike to each other: the text leads them, so few pairs are left for the tries."""
+    rng = random.Random(31)
+    base = ["w%d" % rng.randrange(5000) for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 80):
+        words = list(base)
+        for at in rng.sample(range(300), 6):
+            words[at] = "v%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(words)))
+    counts, plain = [], near_copies._trie_pairs
+    monkeypatch.setattr(near_copies, "_trie_pairs", lambda members, similarity: counts.append(members.count()) or plain(members, similarity))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(tuple(r) for r in near_copies.groups(docs).collect())
+    assert found == sorted(zip([d for d, _ in rows], brute_groups(rows))) and {c for _, c in found} == {0}
+    assert counts[0] < 80
