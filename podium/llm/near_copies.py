@@ -98,7 +98,9 @@ def _same_row(docs: DataFrame) -> Column:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar."""
+    """The pairs (a, b) of nodes whose whole sets are similar; ``pairs`` is a written table."""
+    if pairs.isEmpty():
+        return pairs
     wanted = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     ids = distinct.join(wanted, "node").select(F.col("who.doc_id").alias("__id"), F.col("who.of").alias("__of"))
 
@@ -174,14 +176,18 @@ def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataF
     roots = rooted(links)
     apart = looked_up(shared.select("node", "lead").distinct().join(roots, "node"), roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")), "lead")
     second = materialise(apart.where("root <> lead_root").select(*pair).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_confirmed(second, docs, distinct, shingle, similarity))
-    roots = rooted(links)
+    confirmed = _confirmed(second, docs, distinct, shingle, similarity)
+    if not confirmed.isEmpty():
+        links = links.union(confirmed)
+        roots = rooted(links)
     placed = shared.select("key", "node", "n", "fp").join(roots, "node")
     still = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("open")).where("open").select("key")
     members = materialise(looked_up(placed, still, "key").select("key", "node", "n", "fp", "root"), "open")
     third = _trie_pairs(members, similarity).join(first.union(second), ["a", "b"], "left_anti")
-    links = links.union(_confirmed(materialise(third, "pairs"), docs, distinct, shingle, similarity))
-    named = distinct.select("node", "who").join(rooted(links), "node")
+    confirmed = _confirmed(materialise(third, "pairs"), docs, distinct, shingle, similarity)
+    if not confirmed.isEmpty():
+        roots = rooted(links.union(confirmed))
+    named = distinct.select("node", "who").join(roots, "node")
     firsts = looked_up(named.select("node", "root"), named.groupBy("root").agg(F.min("who").alias("first")), "root").select("node", "first")
     return rows.select("doc_id", "of", "node"), firsts
 

@@ -194,6 +194,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "labels")
+    if edges.isEmpty():
+        return labels
     while True:
         near = (
             looked_up(edges, labels.withColumnRenamed("node", "b"), "b")
