@@ -171,6 +171,14 @@ def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataF
 
     pair = [F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")]
     top = shared.groupBy("node").agg(F.max_by("lead", F.struct("lead_weight", F.bitwise_not("lead"))).alias("lead"))
+    def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+        """``roots`` after further links, of which each pair of groups counts once."""
+        side = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+        met = links.join(side("a"), "a").join(side("b"), "b").where("a_root <> b_root")
+        pairs = met.select(F.greatest("a_root", "b_root").alias("a"), F.least("a_root", "b_root").alias("b")).distinct()
+        above = components(materialise(pairs, "between")).select(F.col("node").alias("root"), F.col("root").alias("above"))
+        return materialise(roots.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root")), "roots")
+
     first = materialise(top.where("node <> lead").select(*pair).distinct(), "pairs")
     links = _confirmed(first, docs, distinct, shingle, similarity)
     roots = rooted(links)
@@ -178,15 +186,14 @@ def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataF
     second = materialise(apart.where("root <> lead_root").select(*pair).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     confirmed = _confirmed(second, docs, distinct, shingle, similarity)
     if not confirmed.isEmpty():
-        links = links.union(confirmed)
-        roots = rooted(links)
+        roots = joined(roots, confirmed)
     placed = shared.select("key", "node", "n", "fp").join(roots, "node")
     still = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("open")).where("open").select("key")
     members = materialise(looked_up(placed, still, "key").select("key", "node", "n", "fp", "root"), "open")
     third = _trie_pairs(members, similarity).join(first.union(second), ["a", "b"], "left_anti")
     confirmed = _confirmed(materialise(third, "pairs"), docs, distinct, shingle, similarity)
     if not confirmed.isEmpty():
-        roots = rooted(links.union(confirmed))
+        roots = joined(roots, confirmed)
     named = distinct.select("node", "who").join(roots, "node")
     firsts = looked_up(named.select("node", "root"), named.groupBy("root").agg(F.min("who").alias("first")), "root").select("node", "first")
     return rows.select("doc_id", "of", "node"), firsts
