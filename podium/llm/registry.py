@@ -8,6 +8,7 @@ from podium.llm.licenses import op2_license_scan
 from podium.llm.mtree import op6_mtree_top_k
 from podium.llm.packing import op4_packing
 from podium.llm.quality import op10_quality_classifier
+from podium.llm.runs import op11_periodic_runs
 from podium.llm.secrets import op1_secret_scan
 from podium.llm.simhash import op7_simhash_near_dedup
 from podium.llm.simple8b import op9_token_id_output
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 #: None of these has a form that DuckDB runs on whole tables: they train models, call
 #: tokenizers or walk metric and bit trees.  Each is tested against brute force.
