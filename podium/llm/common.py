@@ -6,9 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +81,44 @@ def looked_up(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return rows.where(~is_hot).join(lookup.where(~is_hot), key).unionByName(rows.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key))
 
 
+#: Look-up tables of so many rows or fewer are broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def met(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """``looked_up`` for tables that are mostly small: counted, they are broadcast whole."""
+    small = bounded(lookup, BROADCAST_ROWS)
+    return rows.join(small, key) if small is not lookup else looked_up(rows, lookup, key)
+
+
+def in_order(df: DataFrame, by: list[str], sums: list[str], name: str) -> DataFrame:
+    """``df`` with ``place``, the rows before each in the order of ``by``, and for each of ``sums`` its sum before, ``<sum>_before``.
+
+    Two passes: ranges of the order are sorted and summed each, and written with their running
+    sums; the ranges' totals, a row each, then shift them.  Rows that tie may stand in either order.
+    """
+    names = ["place", *(f"{c}_before" for c in sums)]
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(", ".join(f"{c} long" for c in ["__part", *names])).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, totals = TaskContext.get().partitionId(), np.zeros(len(names), np.int64)
+        for batch in batches:
+            values = [np.ones(batch.num_rows, np.int64), *(np.asarray(batch.column(batch.schema.get_field_index(c)), np.int64) for c in sums)]
+            upto = np.cumsum(np.stack(values), axis=1) + totals[:, None]
+            before = upto - np.stack(values)
+            if batch.num_rows:
+                totals = upto[:, -1]
+            made = [pa.array(np.full(batch.num_rows, part, np.int64)), *(pa.array(row) for row in before)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "__part", *names])
+
+    local = materialise(df.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, schema), name)
+    totals = local.groupBy("__part").agg(F.count("*").alias("place"), *(F.sum(c).alias(f"{c}_before") for c in sums))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("__part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}") for c in names))
+    moved = local.join(F.broadcast(shifts), "__part")
+    return moved.select(*df.columns, *((F.col(c) + F.col(f"__{c}")).alias(c) for c in names))
+
+
 def ascii_lower(column):
     """Lower-case A-Z only, code point for code point."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

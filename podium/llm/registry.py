@@ -5,6 +5,7 @@ from __future__ import annotations
 from podium.llm.decontaminate import op8_benchmark_decontamination
 from podium.llm.html_text import op5_html_extraction
 from podium.llm.licenses import op2_license_scan
+from podium.llm.mixing import op12_source_mixing
 from podium.llm.mtree import op6_mtree_top_k
 from podium.llm.packing import op4_packing
 from podium.llm.quality import op10_quality_classifier
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_token_id_output": op9_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_mixing": op12_source_mixing,
 }
 #: None of these has a form that DuckDB runs on whole tables: they train models, call
 #: tokenizers or walk metric and bit trees.  Each is tested against brute force.
