@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from podium.llm.conversations import op13_prefix_trie
 from podium.llm.decontaminate import op8_benchmark_decontamination
 from podium.llm.html_text import op5_html_extraction
 from podium.llm.licenses import op2_license_scan
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_source_mixing": op12_source_mixing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 #: None of these has a form that DuckDB runs on whole tables: they train models, call
 #: tokenizers or walk metric and bit trees.  Each is tested against brute force.
