@@ -189,7 +189,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END
         if held:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    by = ["doc_id", "__code"]  # rows that share a doc_id, or have none, may fill many ranges
+    coded = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("__code"))
+    ordered = coded.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("doc_id", "text")
     shards = ordered.mapInArrow(run, "part int, seq long, n_ids long, shard binary")
     shards.write.option("compression", "zstd").parquet(path)
 

@@ -16,6 +16,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -103,6 +104,11 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
             out += [flat[a:b] for a, b in zip(cuts, cuts[1:])] if whole else encode(part, single)
         return out
 
+    @lru_cache(maxsize=70_000)
+    def closes(last: str) -> bool:
+        """Whether stops after a letter or digit stand by themselves: not where it normalises to more, as a mark would join them."""
+        return last.isalnum() and (not lower or last.isascii() or (len(form := tokenizer.normalizer.normalize_str(last)) == 1 and form.isalnum()))
+
     def derived(piece: str) -> bytes | None:
         """From a known piece: the same in lower case, or with full stops or commas after a letter or digit."""
         if lower and piece.isascii():
@@ -110,7 +116,7 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
             if low != piece and low in memo:
                 return memo[low]
         core = piece.rstrip(".,")
-        if core != piece and core and core[-1].isalnum() and core in memo:
+        if core != piece and core and closes(core[-1]) and core in memo:
             tail = words.get(piece[len(core) :])
             return None if tail is None else memo[core] + tail
         return None
