@@ -17,6 +17,7 @@ each; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,26 +38,51 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKUP = frozenset("head script style template noscript svg canvas object iframe title".split())
 CLOSED_BY_BLOCK = frozenset("p b i em strong u font span a small big".split())
 
-PATH_SLOTS, WORD_SLOTS, SHAPE = 512, 64, 8
-INPUT = PATH_SLOTS + WORD_SLOTS + SHAPE
+#: Elements that tell what they hold.
+TELLING = "nav header footer aside form article main section table td ul ol li dl p h1 h2 h3 h4 blockquote pre figure figcaption button label details".split()
+PATH_SLOTS, WORD_SLOTS, SHAPE = 512, 64, 10
 HIDDEN = 20
-TRAIN_PAGES, EPOCHS, BATCH = 1000, 10, 30
+TRAIN_PAGES, EPOCHS, BATCH = 2400, 9, 30
 #: Blocks that are labelled together, of several pages or of a part of a long one.
 LONG = 20_000
 
 
+#: Names that page authors give to containers.
+NAMES = {
+    "nav": "nav navbar menu navigation breadcrumb breadcrumbs topnav mainmenu links pagination pager tabs toc skip".split(),
+    "header": "header masthead banner branding logo topbar site head hero".split(),
+    "footer": "footer foot bottom copyright legal colophon imprint".split(),
+    "aside": "sidebar aside widget rail related recommended popular trending side tags archive more".split(),
+    "ad": "ad ads advert advertisement sponsor sponsored promo promotion adsense adbox".split(),
+    "notice": "cookie consent notice alert gdpr popup modal newsletter subscribe banner paywall warning message".split(),
+    "comments": "comments comment discussion replies respond disqus feedback thread reader reply".split(),
+    "form": "form search login signup contact survey".split(),
+    "social": "share social sharing follow buttons".split(),
+    "article": "article content post entry story body main text page prose blog news".split(),
+}
+KINDS = {name: len(TELLING) + k for k, kind in enumerate(NAMES.values()) for name in kind}
+TOLD = len(TELLING) + len(NAMES)
+INPUT = PATH_SLOTS + WORD_SLOTS + TOLD + SHAPE
+
+
 class Path(NamedTuple):
     """The elements around a block, by what the labeller reads of them: sizes do not grow with the depth."""
 
     slots: int = 0  # a bit for each hashed name
+    told: int = 0  # a bit for each telling element and each kind of name
     last: tuple[str, ...] = ()  # the innermost four names
     depth: int = 0
 
     def inside(self, names: list[str]) -> Path:
-        slots = self.slots
+        slots, told = self.slots, self.told
         for name in names:
             slots |= 1 << zlib.crc32(name.encode()) % PATH_SLOTS
-        return Path(slots, (*self.last, *names)[-4:], self.depth + len(names))
+            kind = KINDS.get(name[1:]) if name[0] == "." else TELLING.index(name) if name in TELLING else None
+            told |= 0 if kind is None else 1 << kind
+        return Path(slots, told, (*self.last, *names)[-4:], self.depth + 1)
+
+
+_HUMP = re.compile(r"([a-z])([A-Z])")
 
 
 class _Blocks(HTMLParser):
@@ -70,9 +96,11 @@ class _Blocks(HTMLParser):
         self.stack: list[tuple[str, Path]] = []
         self.open: Counter[str] = Counter()
         self.hidden: list[tuple[str, int]] = []  # open markup elements and their numbers
+        self.open_markup: Counter[str] = Counter()
         self.blocks: list[tuple[Path, str, int]] = []
         self.parts: list[str] = []
-        self.links = 0
+        self.links = 0  # words of the block inside links
+        self.anchor = -1  # elements open around an open link
         self.path = Path()
 
     def flush(self) -> None:
@@ -85,6 +113,8 @@ class _Blocks(HTMLParser):
     def pop(self) -> str:
         tag, _ = self.stack.pop()
         self.open[tag] -= 1
+        if len(self.stack) < self.anchor:
+            self.anchor = -1
         return tag
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -92,12 +122,13 @@ class _Blocks(HTMLParser):
             self.markup += 1
             if tag != "head" and self.markup not in self.unclosed:
                 self.hidden.append((tag, self.markup))
+                self.open_markup[tag] += 1
             return
         if self.hidden:
             return
         if tag in INLINE:
             if tag == "a":
-                self.links += 1
+                self.anchor = len(self.stack)
             return
         if tag not in ("br", "hr") and self.stack and self.stack[-1][0] == "p":
             self.pop()
@@ -107,7 +138,7 @@ class _Blocks(HTMLParser):
             names = [tag]
             for key, value in attrs:
                 if key in ("class", "id", "role") and value:
-                    names += [f".{x}" for x in value.lower().replace("_", "-").replace("-", " ").split()]
+                    names += [f".{x}" for x in _HUMP.sub(r"\1 \2", value).lower().replace("_", "-").replace("-", " ").split()]
             self.stack.append((tag, (self.stack[-1][1] if self.stack else Path()).inside(names)))
             self.open[tag] += 1
         self.flush()
@@ -121,10 +152,13 @@ class _Blocks(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag in MARKUP:
-            if any(name == tag for name, _ in self.hidden[-64:]):  # what was opened inside goes with it
-                while self.hidden.pop()[0] != tag:
-                    pass
+            if self.open_markup[tag]:  # what was opened inside goes with it
+                while (last := self.hidden.pop()[0]) != tag:
+                    self.open_markup[last] -= 1
+                self.open_markup[tag] -= 1
             return
+        if tag == "a":
+            self.anchor = -1
         if self.hidden or tag in INLINE or tag in VOID:
             return
         if self.open[tag]:
@@ -135,10 +169,12 @@ class _Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             self.parts.append(data)
+            if self.anchor >= 0:
+                self.links += len(data.split())
 
 
 def blocks(html: str) -> list[tuple[Path, str, int]]:
-    """(tag path, text, links) of the page's leaf blocks in page order."""
+    """(tag path, text, linked words) of the page's leaf blocks in page order."""
     unclosed: frozenset[int] = frozenset()
     for _ in range(2):
         parser = _Blocks(unclosed)
@@ -163,7 +199,11 @@ def vectors(page: list[tuple[Path, str, int]]) -> np.ndarray:
         n = len(words)
         slots = np.fromiter(map(crc, words), np.uint32, n) % WORD_SLOTS
         row[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = np.bincount(slots, minlength=WORD_SLOTS) / (2 * max(1, n))
-        row[-SHAPE:] = [n < 4, n < 10, n > 25, min(links, n) / max(n, 1), text[-1] in ".!?", path.depth / 10, np.log1p(n) / 6, 1]
+        at = PATH_SLOTS + WORD_SLOTS
+        row[at : at + TOLD] = [path.told >> k & 1 for k in range(TOLD)]
+        stops = text.count(". ") + text.count("? ") + text.count("! ") + text.count(", ")
+        shape = [n < 4, n < 10, n > 25, min(links, n) / max(n, 1), links >= n, text[-1] in ".!?", min(stops, 8) / 8, path.depth / 10, np.log1p(n) / 6, 1]
+        row[-SHAPE:] = shape
     return out
 
 
@@ -282,24 +322,181 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-#: Names that page authors give to containers.
-NAMES = {
-    "nav": "nav navbar menu navigation breadcrumb breadcrumbs topnav mainmenu links pagination pager tabs toc skip".split(),
-    "header": "header masthead banner branding logo topbar site head hero".split(),
-    "footer": "footer foot bottom copyright legal colophon imprint".split(),
-    "aside": "sidebar aside widget rail related recommended popular trending side tags archive more".split(),
-    "ad": "ad ads advert advertisement sponsor sponsored promo promotion adsense adbox".split(),
-    "notice": "cookie consent notice alert gdpr popup modal newsletter subscribe banner paywall warning message".split(),
-    "comments": "comments comment discussion replies respond disqus feedback thread reader reply".split(),
-    "form": "form search login signup contact survey".split(),
-    "social": "share social sharing follow buttons".split(),
-    "article": "article content post entry story body main text page prose blog news".split(),
-}
 SYLLABLES = "an ar be ci da de en er es fi ga he in is ka la le lo ma me mi mo na ne no on or pa pe qu ra re ri ro sa se si so ta te ti to tra un ur va ve vi wo zu ß ö é ñ th sch".split()
 
 
 def sample_pages(count: int = TRAIN_PAGES, seed: int = 11) -> Iterator[tuple[str, list[bool]]]:
-    """Pages made by rule, and for each of their blocks whether it is article text."""
+    """Pages made by rule, and for each of their blocks whether it is article text: in turn plain and wild ones."""
+    for plain, wild in zip(plain_pages(count // 2, seed), wild_pages(count // 2, seed + 1)):
+        yield plain
+        yield wild
+
+
+#: What boilerplate says, and names that tell nothing.
+PHRASES = {
+    "nav": ["Home", "About us", "Contact", "News", "Products", "Log in", "Sign up", "Help", "FAQ", "Next page", "Previous", "Careers", "Forum", "Search", "Archives", "Shop", "Blog", "Menu"],
+    "footer": ["Copyright 2024 All rights reserved.", "© 2021 Example Ltd.", "Privacy policy", "Terms of use", "Powered by software", "Imprint", "Contact us", "Site map", "All content is licensed.", "Back to top"],
+    "notice": ["We use cookies to improve your experience.", "Accept all cookies", "Subscribe to our newsletter.", "Please enable scripts to view this site.", "You have no new messages.", "Sign in to continue", "This site uses cookies. By continuing you agree to their use."],
+    "social": ["Share", "Tweet", "Follow us", "Like this", "Print", "Email this", "Save"],
+    "aside": ["Related posts", "Most read", "Popular", "Recent comments", "Tags", "Archive", "See also", "You may also like", "Categories", "Latest news"],
+    "ad": ["Advertisement", "Sponsored", "Buy now and save", "Order today", "Special offer ends soon", "Click here for a free trial"],
+    "comments": ["Comments", "Leave a reply", "Reply", "Report", "says", "Responses", "Join the discussion"],
+}
+NEUTRAL = "page site wrapper wrap container row col col8 inner outer layout content main app root grid box block left right center clearfix panel region primary body view section module group l r x".split()
+
+
+def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
+    """Pages in wrappers of any depth and name, paragraphs of any element, boilerplate that the words and links tell."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+    def word() -> str:
+        return "".join(rng.choice(SYLLABLES) for _ in range(rng.choice([1, 1, 2, 2, 3])))
+
+    def sentence(n: int, stop: bool = True) -> str:
+        made = [word() for _ in range(n)]
+        for k in range(len(made) - 1):
+            made[k] += "," if rng.random() < 0.08 else ""
+        return " ".join([made[0].capitalize(), *made[1:]]) + (rng.choice("....?!") if stop else "")
+
+    def prose(n: int) -> str:
+        out = []
+        while n > 0:
+            out.append(sentence(min(n, rng.randint(4, 20))))
+            n -= 20
+        if rng.random() < 0.25:
+            out.insert(rng.randint(0, len(out)), f'{sentence(3, False)} <a href="/{word()}">{sentence(rng.randint(1, 4), False)}</a> {sentence(4)}')
+        return " ".join(out)
+
+    def named(kind: str | None) -> str:
+        style = rng.random()
+        if style < 0.25:
+            return ""
+        if kind and style < 0.7:
+            names = [rng.choice(NAMES[kind]), *([rng.choice(NEUTRAL)] if rng.random() < 0.4 else [])]
+        elif style < 0.85:
+            names = rng.sample(NEUTRAL, rng.randint(1, 2))
+        else:
+            names = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 2))]
+        return f' {rng.choice(["class", "class", "id"])}="{rng.choice(["-", " ", "_"]).join(names)}"'
+
+    def links(kind: str, n: int) -> str:
+        items = [f'<a href="/{word()}">{rng.choice(PHRASES[kind]) if rng.random() < 0.5 else sentence(rng.randint(1, 9), False)}</a>' for _ in range(n)]
+        style = rng.random()
+        if style < 0.5:
+            return "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+        if style < 0.65:
+            return rng.choice([" | ", " ", " · ", " / "]).join(items)
+        if style < 0.8:
+            return "".join(f"<div>{x}</div>" for x in items)
+        if style < 0.9:
+            return "<table><tr>" + "".join(f"<td>{x}</td>" for x in items) + "</tr></table>"
+        return "<p>" + "<br>".join(items) + "</p>"
+
+    def boiler(kind: str) -> str:
+        tags = {"nav": ["nav", "nav", "div", "ul"], "header": ["header", "header", "div"], "footer": ["footer", "footer", "div", "table"], "aside": ["aside", "aside", "div", "td"], "comments": ["section", "div", "ol"], "form": ["form"]}
+        tag, said = rng.choice(tags.get(kind, ["div", "div", "section", "p"])), PHRASES.get(kind, PHRASES["nav"])
+        if kind == "nav":
+            inner = links("nav", rng.randint(2, 12))
+        elif kind == "header":
+            inner = f"<{(t := rng.choice(['div', 'p', 'span', 'h1', 'h2']))}><a href='/'>{sentence(2, False)}</a></{t}>" + (f"<p>{sentence(rng.randint(2, 7), False)}</p>" if rng.random() < 0.5 else "") + (links("nav", 4) if rng.random() < 0.5 else "")
+        elif kind == "footer":
+            inner = (links("footer", rng.randint(2, 8)) if rng.random() < 0.6 else "") + f"<p>{' '.join(rng.sample(said, rng.randint(1, 3)))} {sentence(rng.randint(1, 12))}</p>"
+        elif kind == "aside":
+            inner = f"<h3>{rng.choice(said)}</h3>" + (links("aside", rng.randint(2, 8)) if rng.random() < 0.7 else f'<div><a href="/">{sentence(5, False)}</a><p>{sentence(rng.randint(5, 22))}</p></div>' * rng.randint(1, 4))
+        elif kind == "comments":
+            inner = f"<h3>{rng.choice(said)}</h3>" + "".join(f'<{(t := rng.choice(["div", "li", "article"]))} class="{rng.choice(["comment", "reply", "comment-body", "thread"])}"><b>{word()}</b> {rng.choice(said)}<p>{prose(rng.randint(2, 50))}</p></{t}>' for _ in range(rng.randint(1, 6)))
+        elif kind == "form":
+            inner = f"<label>{sentence(2, False)}</label><input><p>{sentence(4)}</p><button>{rng.choice(PHRASES['notice'])}</button>"
+        else:
+            inner = " ".join(rng.sample(said, rng.randint(1, 3))) + (" " + sentence(rng.randint(2, 25)) if rng.random() < 0.5 else "")
+            inner = rng.choice([f"<p>{inner}</p>", inner, links(kind if kind in PHRASES else "nav", 3)])
+        if tag == "p":
+            inner = re.sub(r"</?(p|ul|li|div|table|tr|td)[^>]*>", " ", inner)
+        name = named(kind) or (f' class="{rng.choice(NAMES[kind])}"' if tag == "div" and kind == "aside" else "")
+        if kind == "comments":  # nothing else would tell them from the article
+            name = f' {rng.choice(["class", "id"])}="{rng.choice(NAMES[kind])}"'
+        if tag == "table":
+            return f"<table{name}><tr><td>{inner}</td></tr></table>"
+        if tag == "td":
+            return f"<table><tr><td{name}>{inner}</td></tr></table>"
+        return f"<{tag}{name}>{inner}</{tag}>"
+
+    def paragraphs(style: str) -> list[str]:
+        n = rng.choice([1, 2, 3, 4, 6, 9, 14, 25])
+        long = [prose(rng.choice([4, 9, 18, 30, 45, 70, 110])) for _ in range(n)]
+        if not any(len(x.split()) > 25 for x in long):
+            long[rng.randrange(n)] = prose(rng.randint(30, 80))
+        if style == "br":
+            return [rng.choice(["<br>", "<br><br>", "<br/>\n<br/>"]).join(long)]
+        out = []
+        for text in long:
+            kind = rng.random()
+            if kind < 0.1:
+                out.append(f"<{(t := rng.choice(['h2', 'h3', 'h4']))}>{sentence(rng.randint(1, 7), False)}</{t}>")
+            if kind > 0.94:
+                out.append(f"<{(t := rng.choice(['ul', 'ol']))}>" + "".join(f"<li>{sentence(rng.randint(2, 16), rng.random() < 0.5)}</li>" for _ in range(rng.randint(2, 6))) + f"</{t}>")
+            elif kind > 0.91:
+                out.append(f"<blockquote>{rng.choice(['<p>%s</p>', '%s']) % text}</blockquote>")
+            elif kind > 0.89:
+                out.append(f"<pre>{sentence(9, False)}</pre>")
+            elif kind > 0.87:
+                out.append("<table>" + "".join(f"<tr><th>{sentence(1, False)}</th><td>{sentence(rng.randint(1, 4), False)}</td></tr>" for _ in range(rng.randint(2, 5))) + "</table>")
+            elif kind > 0.85:
+                out.append(f"<figure><img src='x'><figcaption>{sentence(rng.randint(3, 14))}</figcaption></figure>")
+            element = {"p": "p", "div": "div", "mixed": rng.choice(["p", "p", "div", "section"])}[style]
+            out.append(f"<{element}{named(None) if rng.random() < 0.2 else ''}>{text}</{element}>")
+        return out
+
+    for _ in range(count):
+        out, labels = ["<!DOCTYPE html><html><head><title>x</title></head><body>"], []
+
+        def add(html: str, article: bool) -> None:
+            out.append(html)
+            labels.extend([article] * len(blocks(html)))
+
+        def wrap(n: int, tags: list[str], kind: str | None) -> list[str]:
+            made = []
+            for _ in range(n):
+                tag = rng.choice(tags)
+                out.append(f"<table><tr><td{named(kind)}>" if tag == "td" else f"<{tag}{named(kind)}>")
+                made.append("</td></tr></table>" if tag == "td" else f"</{tag}>")
+            return made[::-1]
+
+        around = wrap(rng.choice([0, 0, 1, 1, 2, 3]), ["div", "div", "div", "section", "td"], None)
+        for kind in ("notice", "header", "nav", "form", "ad", "nav", "social"):
+            if rng.random() < (0.7 if kind in ("nav", "header") else 0.25):
+                add(boiler(kind), False)
+        middle = wrap(rng.choice([0, 0, 1, 2]), ["div", "div", "main", "section", "td"], "article" if rng.random() < 0.4 else None)
+        early = rng.random() < 0.25
+        if early:
+            add(boiler("aside"), False)
+        inner = wrap(rng.choice([0, 1, 1, 2, 3]), ["div", "div", "div", "section", "article", "td"], "article" if rng.random() < 0.5 else None)
+        if rng.random() < 0.75:
+            tag = rng.choice(["h1", "h1", "h2"])
+            add(f"<{tag}{named(None) if rng.random() < 0.3 else ''}>{sentence(rng.randint(1, 10), False)}</{tag}>", True)
+        for html in paragraphs(rng.choice(["p", "p", "p", "mixed", "div", "br"])):
+            add(html, True)
+            if rng.random() < 0.05:
+                add(boiler(rng.choice(["ad", "social", "notice", "aside"])), False)
+        if rng.random() < 0.3:
+            add(boiler(rng.choice(["social", "aside", "comments"])), False)
+        out += inner
+        for kind in ("social", "comments", "aside", "ad"):
+            if rng.random() < 0.3 and not (early and kind == "aside"):
+                add(boiler(kind), False)
+        out += middle
+        for kind in ("aside", "form", "nav", "footer"):
+            if rng.random() < (0.65 if kind == "footer" else 0.2):
+                add(boiler(kind), False)
+        out += around
+        if rng.random() < 0.7:
+            out.append("</body></html>")
+        yield "".join(out), labels
+
+
+def plain_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
+    """Pages whose article is one container with a telling name."""
     rng = random.Random(seed)
 
     def words(n: int) -> str:
