@@ -24,7 +24,6 @@ other columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -54,11 +53,6 @@ def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(text, shingle))
 
 
-def alike(x: np.ndarray, y: np.ndarray, similarity: Fraction = SIMILARITY) -> bool:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both * (similarity.numerator + similarity.denominator) >= similarity.numerator * (len(x) + len(y))
-
-
 def block_keys(values: np.ndarray) -> np.ndarray:
     """One key a band, as signed longs; none for the empty set."""
     if not len(values):
@@ -107,18 +101,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingles(text, shingle) for text in utf8(batch, "text")]
         nodes = np.array([_node(x) for x in found], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "whole"])
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], ["node", "whole"])
 
     rows = docs.select("doc_id", "text").join(bounded(ids, MOST_BROADCAST), _same_row(docs), "left_semi")
-    sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole binary").dropDuplicates(["node"]), "sets")
+    sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole array<long>").dropDuplicates(["node"]), "sets")
     held = pairs.join(sets.select(F.col("node").alias("a"), F.col("whole").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("whole").alias("y")), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = [alike(*(np.frombuffer(batch.column(k)[row].as_buffer(), np.uint64) for k in (2, 3)), similarity) for row in range(batch.num_rows)]
-            yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
-
-    return materialise(held.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    # pair by pair in the JVM: a batch of pairs would hold all their sets at once
+    both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
+    similar = both * (similarity.numerator + similarity.denominator) >= similarity.numerator * sizes
+    return materialise(held.where(similar).select("a", "b"), "links")
 
 
 def _trie_pairs(members: DataFrame, similarity: Fraction) -> DataFrame:
