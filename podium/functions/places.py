@@ -1,31 +1,26 @@
-"""Countries as a dimension: codes, names, aliases and territories.
+"""Countries as a dimension: codes, names and territories.
 
-The dimension is a small table of our own; a fuller one can be passed wherever one is
-taken (columns alpha2, alpha3, name).
+Codes and English names are the JDK's, all of ISO 3166-1.  What else publishers call a country is a
+table of the user's (alias, code); a dimension of one's own can be passed wherever one is taken
+(columns alpha2, alpha3, name).
 """
 
 from __future__ import annotations
 
+from functools import lru_cache, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.names import ascii_fold, words
 
-#: Fixed values of ISO 3166, a working subset.
-COUNTRIES = """AR ARG Argentina;AT AUT Austria;AU AUS Australia;BE BEL Belgium;BR BRA Brazil;CA CAN Canada;CH CHE Switzerland
-CL CHL Chile;CN CHN China;CO COL Colombia;CZ CZE Czechia;DE DEU Germany;DK DNK Denmark;DZ DZA Algeria;EG EGY Egypt;ES ESP Spain
-ET ETH Ethiopia;FI FIN Finland;FR FRA France;GB GBR United Kingdom;GR GRC Greece;HK HKG Hong Kong;HU HUN Hungary;ID IDN Indonesia
-IE IRL Ireland;IL ISR Israel;IN IND India;IQ IRQ Iraq;IR IRN Iran;IT ITA Italy;JO JOR Jordan;JP JPN Japan;KE KEN Kenya
-KR KOR South Korea;MA MAR Morocco;MO MAC Macao;MX MEX Mexico;MY MYS Malaysia;MZ MOZ Mozambique;NL NLD Netherlands;NO NOR Norway
-NZ NZL New Zealand;PE PER Peru;PL POL Poland;PT PRT Portugal;RO ROU Romania;RU RUS Russia;SA SAU Saudi Arabia;SE SWE Sweden
-SG SGP Singapore;TH THA Thailand;TR TUR Turkey;TW TWN Taiwan;UA UKR Ukraine;US USA United States;VN VNM Vietnam;ZA ZAF South Africa"""
-ALIASES = """usa US;u s a US;united states of america US;uk GB;great britain GB;england GB;scotland GB;wales GB;korea KR
-republic of korea KR;korea south KR;russian federation RU;czech republic CZ;the netherlands NL;holland NL;viet nam VN
-hong kong sar HK;macau MO;mainland china CN;china mainland CN;turkiye TR;islamic republic of iran IR
-uae AE;brunei BN;kosovo XK;xk XK;xkx XK;palestine PS;palestinian territories PS;palestinian territory PS;state of palestine PS;syria SY
-syrian arab republic SY;slovak republic SK;south korea KR;north korea KP;russia RU;turkey TR;taiwan TW;taiwan province of china TW
-macau sar MO;united kingdom uk GB;united states of america usa US;ivory coast CI;cote d ivoire CI;cote divoire CI;cape verde CV
-swaziland SZ;macedonia MK;east timor TL;burma MM;laos LA;moldova MD;bolivia BO;venezuela VE;tanzania TZ;micronesia FM;vietnam VN"""
+#: Fixed values of ISO 3166-1: English short names that differ from the JDK's, and the code that it reserves for a country.
+ISO_NAMES = """BO Bolivia (Plurinational State of);BN Brunei Darussalam;CD Congo (Democratic Republic of the);CG Congo (Republic of the);CV Cabo Verde
+CI C\u00f4te d'Ivoire;CZ Czech Republic;FM Micronesia (Federated States of);GB United Kingdom of Great Britain and Northern Ireland;GB UK;HK Hong Kong
+IR Iran (Islamic Republic of);KP Korea (Democratic People's Republic of);KR Korea (Republic of);LA Lao People's Democratic Republic
+MD Moldova (Republic of);MK North Macedonia;MM Myanmar;MO Macao;NL Netherlands (Kingdom of the);PS Palestine (State of);RU Russian Federation
+SY Syrian Arab Republic;SZ Eswatini;TL Timor-Leste;TR T\u00fcrkiye;TW Taiwan (Province of China);TZ Tanzania (United Republic of)
+US United States of America;VA Holy See;VE Venezuela (Bolivarian Republic of);VN Viet Nam"""
 #: Names to show in place of the official English ones.
 DISPLAY = """BO Bolivia;BN Brunei;CN China;CZ Czechia;GB United Kingdom;HK Hong Kong;IR Iran;KR South Korea;MD Moldova;MO Macau;PS Palestine
 RU Russia;TW Taiwan;TZ Tanzania;US United States;VN Vietnam;XK Kosovo"""
@@ -34,34 +29,56 @@ TERRITORIES = {"CN": ("HK", "MO"), "FR": ("GF", "GP", "MQ", "RE"), "NO": ("SJ",)
 MULTINATIONAL = ("mul", "multinational")
 
 
+@lru_cache(maxsize=4)
+def _countries(spark: SparkSession) -> tuple[tuple[str, str, str], ...]:
+    locale = spark.sparkContext._jvm.java.util.Locale
+    there = [locale("", code) for code in locale.getISOCountries()]
+    return tuple((x.getCountry(), x.getISO3Country(), x.getDisplayCountry(locale.ENGLISH)) for x in there)
+
+
 def country_dim(spark: SparkSession) -> DataFrame:
-    rows = [tuple(x.split(" ", 2)) for line in COUNTRIES.splitlines() for x in line.split(";")]
-    return spark.createDataFrame(rows, "alpha2 string, alpha3 string, name string")
+    """alpha2, alpha3, name of all countries."""
+    return spark.createDataFrame(list(_countries(spark)), "alpha2 string, alpha3 string, name string")
+
 
+def _spellings(name: str) -> list[str]:
+    """"Iran (Islamic Republic of)" is also the Islamic Republic of Iran."""
+    if not name.endswith(")"):
+        return [name]
+    short, form = name[:-1].split(" (")
+    return [f"{short} {form}", f"{form} {short}"] if form.split()[-1] in ("of", "the") else [f"{short} {form}"]
 
-def country_keys(spark: SparkSession, dim: DataFrame | None = None) -> DataFrame:
-    """key → code: alpha-2, alpha-3, names and aliases, normalised; one row a key."""
+
+def country_keys(spark: SparkSession, dim: DataFrame | None = None, aliases: DataFrame | None = None) -> DataFrame:
+    """key → code: alpha-2, alpha-3, names and the user's ``aliases`` (alias, code), normalised; one row a key."""
     dim = country_dim(spark) if dim is None else dim
-    parts = [dim.select(words(F.col(c)).alias("key"), F.col("alpha2").alias("code")) for c in ("alpha2", "alpha3", "name")]
-    aliases = [tuple(x.rsplit(" ", 1)) for line in ALIASES.splitlines() for x in line.split(";")]
-    parts.append(spark.createDataFrame(aliases, "key string, code string"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out.groupBy("key").agg(F.min("code").alias("code"))
+    key = lambda c: words(ascii_fold(F.col(c)))
+    parts = [dim.select(key(c).alias("key"), F.col("alpha2").alias("code")) for c in ("alpha2", "alpha3", "name")]
+    listed = [(spelt, code) for line in ISO_NAMES.splitlines() for code, name in (x.split(" ", 1) for x in line.split(";")) for spelt in _spellings(name)]
+    named = spark.createDataFrame(listed, "alias string, code string")
+    parts += [df.select(key("alias").alias("key"), "code") for df in (named, aliases) if df is not None]
+    return reduce(DataFrame.union, parts).groupBy("key").agg(F.min("code").alias("code"))
+
+
+def _key(text: Column) -> Column:
+    """Normalised; single letters, as in "U.S.A.", are one word."""
+    plain = words(ascii_fold(text))
+    return F.when(plain.rlike("^[a-z]( [a-z])+$"), F.replace(plain, F.lit(" "))).otherwise(plain)
 
 
-def country_text(raw: Column) -> Column:
-    """A cell as a key: a trailing "(XXX)" goes, so does what precedes the last comma."""
+def country_texts(raw: Column) -> list[Column]:
+    """A cell as keys, the first that is known counts: the whole without a trailing "(XXX)", what follows its last comma."""
     bare = F.regexp_replace(F.trim(raw), r"\s*\([A-Za-z]{2,3}\)\s*$", "")
-    return words(ascii_fold(F.element_at(F.split(bare, ","), -1)))
+    return [_key(bare), _key(F.element_at(F.split(bare, ","), -1))]
 
 
 def with_country(df: DataFrame, raw: str, keys: DataFrame, code: str = "country_code") -> DataFrame:
-    """Adds ``code`` by one join with the (small, fixed) key dimension."""
-    named = df.withColumn("__key", country_text(F.col(raw)))
-    joined = named.join(F.broadcast(keys.select(F.col("key").alias("__key"), F.col("code").alias(code))), "__key", "left")
-    return joined.drop("__key")
+    """Adds ``code`` by joins with the (small, fixed) key dimension."""
+    out = df
+    for k, key in enumerate(country_texts(F.col(raw))):
+        told = F.broadcast(keys.select(F.col("key").alias("__key"), F.col("code").alias(f"__code_{k}")))
+        out = out.withColumn("__key", key).join(told, "__key", "left").drop("__key")
+    return out.withColumn(code, F.coalesce("__code_0", "__code_1")).drop("__code_0", "__code_1")
 
 
 def country_labels(spark: SparkSession, dim: DataFrame | None = None) -> DataFrame:

@@ -7,8 +7,8 @@ a brand.
 
 from __future__ import annotations
 
-from podium.plans import cells, documents, facts, ingest, merges, rankings, registries, structure, tables
+from podium.plans import cells, documents, facts, ingest, merges, rankings, registries, scans, structure, tables
 
-MODULES = (rankings, tables, facts, documents, merges, ingest, cells, registries, structure)
+MODULES = (rankings, tables, facts, documents, merges, ingest, cells, registries, structure, scans)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

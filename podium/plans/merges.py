@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.functions import facts, numbers, places, web
-from podium.operators import matching, merging
+from podium.operators import matching, merging, ordered
 from podium.operators import relational as R
 from podium.plans.base import NATIONS, RANKED, nations, ranked, table
 from podium.plans.registry import registry
@@ -124,13 +124,16 @@ def nulls_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH n AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(p_name) END AS name FROM part) SELECT name, row_number() OVER (ORDER BY lower(name), name = upper(name)) AS position FROM n""")
 def locale_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names in the order of readers: letters before case, small letters first.  One row a distinct name reaches the numbering."""
+    """Names in the order of readers: letters before case, small letters first; ranges of that order are sorted by a task each."""
     names = table(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.upper("p_name")).alias("name")).distinct()
-    return names.withColumn("position", F.row_number().over(Window.orderBy(F.collate("name", "UNICODE"))))
+    return ordered.with_numbers(names, [], [F.collate("name", "UNICODE")], "position")
 
 
-@query("""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href FROM pages), f AS (SELECT DISTINCT page_id, href,
-20 - greatest(len(list_filter(string_split(href, '/'), lambda x: x <> '')) - 2, 0) * 4 + 15 + CASE WHEN regexp_matches(lower(href), '^/about/?$') THEN 25 ELSE 0 END AS priority FROM l)
+KIND_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(path), '{pattern}') THEN {web.KIND_POINTS[name]}" for name, pattern in web.LINK_KINDS) + " ELSE 0 END"
+
+
+@query(f"""WITH l AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*href=["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href FROM pages), p AS (SELECT *, regexp_extract(href, '^([^?#]*)', 1) AS path FROM l),
+f AS (SELECT page_id, href, 20 + {KIND_SQL} + {web.SAME_HOST_POINTS} - {web.DEPTH_POINTS} * greatest(len(list_filter(string_split(path, '/'), lambda x: x <> '')) - 1, 0) AS priority FROM p)
 SELECT page_id, href, priority, row_number() OVER (PARTITION BY page_id ORDER BY priority DESC, href) AS position FROM f QUALIFY position <= 3""")
 def page_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three links of each page to follow first."""
@@ -201,16 +204,16 @@ def same_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("s_suppkey", "c_custkey", web.same_site(a, b).alias("same"))
 
 
-ERRORS = ["HTTP 503 from server", "returned HTTP 404", "Request failed", "unable to resolve host", "has no official website", "temporarily unreachable", "captcha"]
+STATUSES, EXCEPTIONS = (503, 404, 429, 403, None, None, None, None), (None, None, None, None, "TimeoutError", "RobotsError", "OddException", None)
 
 
-@query("""WITH e AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'registry' WHEN 1 THEN 'robots' ELSE 'fetch' END AS stage, event_id % 8 AS k FROM events)
-SELECT event_id, CASE WHEN k = 7 THEN NULL WHEN stage = 'registry' THEN CASE WHEN k = 3 THEN 'transient' WHEN k = 4 THEN 'discovery' ELSE 'blocked' END WHEN stage = 'robots' THEN CASE WHEN k = 5 THEN 'transient' ELSE 'blocked' END
-WHEN k IN (0, 2, 3) THEN 'transient' WHEN k = 1 THEN 'discovery' ELSE 'blocked' END AS kind, CASE WHEN k = 7 THEN true WHEN stage = 'registry' THEN k IN (3, 4) WHEN stage = 'robots' THEN k = 5 ELSE k IN (0, 1, 2, 3) END AS again FROM e""")
+@query("""WITH k AS (SELECT event_id, ['transient', 'absent', 'transient', 'refused', 'transient', 'refused', 'refused', NULL][event_id % 8 + 1] AS kind FROM events)
+SELECT event_id, kind, kind IS NULL OR kind IN ('transient', 'absent') AS again FROM k""")
 def retry_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = F.when(F.col("event_id") % 3 == 0, "registry").when(F.col("event_id") % 3 == 1, "robots").otherwise("fetch")
-    error = F.get(F.array(*map(F.lit, ERRORS)), F.col("event_id") % 8)
-    return table(spark, sf_dir, "events").select("event_id", web.failure_class(stage, error).alias("kind"), web.retries(stage, error, "recoverable").alias("again"))
+    """What each failed request means, and whether it is made again."""
+    pick = lambda values, kind: F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("event_id") % 8)
+    status, exception = pick(STATUSES, "int"), pick(EXCEPTIONS, "string")
+    return table(spark, sf_dir, "events").select("event_id", web.failure_class(status, exception).alias("kind"), web.retries(status, exception, ("transient", "absent")).alias("again"))
 
 
 @query("""WITH d AS (SELECT DISTINCT o_custkey AS entity, 'd' || o_orderkey % 4 || '.edu' AS domain, CASE WHEN o_orderstatus = 'P' THEN 'registry' ELSE o_orderpriority END AS provider FROM orders) SELECT entity, domain FROM d GROUP BY 1, 2 HAVING count(DISTINCT provider) >= 2 OR bool_or(provider = 'registry')""")

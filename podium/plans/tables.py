@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podium.functions import names, numbers, places, web
+from podium.functions import addresses, names, numbers, places
 from podium.operators import matching
 from podium.operators import relational as R
 from podium.plans.base import table
@@ -167,15 +167,16 @@ def number_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes, names and aliases as publishers write them."""
     written = F.array(*map(F.lit, ["Germany", "U.S.A.", "Viet Nam", "Korea, South Korea", "Leeds (GBR), England", "Atlantis", "fra", "Mainland China"]))
+    aliases = spark.createDataFrame([("mainland China", "CN"), ("England", "GB")], "alias string, code string")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.element_at(written, F.col("n_nationkey") % 8 + 1).alias("raw"))
-    return places.with_country(nation, "raw", places.country_keys(spark), "code").select("n_nationkey", "code", "raw")
+    return places.with_country(nation, "raw", places.country_keys(spark, aliases=aliases), "code").select("n_nationkey", "code", "raw")
 
 
 @query("""SELECT c_custkey, (c_custkey % 256) || '.' || (c_nationkey * 7) || '.0.1' AS address, (c_custkey % 256 IN (0, 10, 127) OR c_custkey % 256 >= 224 OR (c_custkey % 256 = 172 AND c_nationkey * 7 BETWEEN 16 AND 31) OR (c_custkey % 256 = 192 AND c_nationkey * 7 IN (0, 168) AND (c_nationkey * 7 = 168 OR true))
 OR (c_custkey % 256 = 100 AND c_nationkey * 7 BETWEEN 64 AND 127) OR (c_custkey % 256 = 169 AND c_nationkey * 7 = 254) OR (c_custkey % 256 = 198 AND c_nationkey * 7 IN (18, 19))) AS reserved FROM customer""")
 def cidr_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     address = F.concat((F.col("c_custkey") % 256).cast("string"), F.lit("."), (F.col("c_nationkey") * 7).cast("string"), F.lit(".0.1"))
-    return table(spark, sf_dir, "customer").select("c_custkey", address.alias("address"), web.is_reserved(address).alias("reserved"))
+    return table(spark, sf_dir, "customer").select("c_custkey", address.alias("address"), addresses.is_reserved(address).alias("reserved"))
 
 
 @query("""WITH c AS (SELECT o_custkey AS entity, o_orderkey AS record, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS priority FROM orders) SELECT entity, arg_min(record, struct_pack(a := priority, b := record)) AS record, min(priority) AS priority FROM c GROUP BY 1""")

@@ -9,6 +9,7 @@ import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,9 +19,6 @@ from podium.functions.names import decode_entities, plain_text, slug
 from podium.functions.numbers import rank_number, share_number
 from podium.operators.relational import segments
 
-#: Sitemaps name at most this many pages (the sitemap protocol allows 50,000 a file).
-SITEMAP_URLS = 10_000
-
 
 class _Tables(HTMLParser):
     def __init__(self) -> None:
@@ -89,12 +87,12 @@ def visible_blocks(pages: DataFrame, markup: str = "html", shortest: int = 20, l
     return rows.withColumn("block", text).drop("__piece").where(F.length("block").between(shortest, longest))
 
 
-def sitemap_urls(documents: DataFrame, text: str) -> DataFrame:
-    """Distinct <loc> entries, CDATA unwrapped, in order of appearance."""
+def sitemap_urls(documents: DataFrame, text: str, most: int | None = None) -> DataFrame:
+    """Distinct <loc> entries, CDATA unwrapped, in order of appearance; ``most``: so many of each sitemap."""
     found = F.regexp_extract_all(text, F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))
     bare = F.transform(found, lambda u: F.trim(F.regexp_replace(u, r"(?s)^<!\[CDATA\[(.*)\]\]>$", "$1")))
-    urls = F.slice(F.array_distinct(F.filter(bare, lambda u: u != "")), 1, SITEMAP_URLS)
-    return documents.withColumn("url", F.explode(urls))
+    urls = F.array_distinct(F.filter(bare, lambda u: u != ""))
+    return documents.withColumn("url", F.explode(urls if most is None else F.slice(urls, 1, most)))
 
 
 def markdown_rows(documents: DataFrame, text: str) -> DataFrame:
@@ -207,33 +205,39 @@ def robots_rules(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _plain_path(path: Column) -> Column:
-    """A path with its percent escapes in one form: those of unreserved characters decoded, others in upper case."""
+    """A path as octets in one form: percent escapes of unreserved characters decoded, others in upper case, other
+    characters than ASCII escaped."""
 
     def one(text: str) -> str:
         def step(match: re.Match) -> str:
             char = chr(int(match[1], 16))
             return char if char.isascii() and (char.isalnum() or char in "-._~") else match[0].upper()
 
-        return re.sub("%([0-9A-Fa-f]{2})", step, text)
+        return re.sub("%([0-9A-Fa-f]{2})", step, re.sub("[^\x00-\x7f]+", lambda m: quote(m[0]), text))
 
     def run(paths: pd.Series) -> pd.Series:
         return paths.map(one, na_action="ignore")
 
-    return F.when(F.contains(path, F.lit("%")), F.pandas_udf(run, "string")(path)).otherwise(path)
+    needed = F.contains(path, F.lit("%")) | (F.length(path) < F.octet_length(path))
+    return F.when(needed, F.pandas_udf(run, "string")(F.when(needed, path))).otherwise(path)
+
+
+def _product(agent: Column) -> Column:
+    """A crawler's name without its version: what stands before white space or a slash."""
+    return F.lower(F.regexp_extract(agent, r"^\s*([^\s/]+)", 1))
 
 
 def robots_allow(requests: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """``requests`` (key, agent, path) with ``allowed``: the most specific agent's longest matching rule;
+    """``requests`` (key, agent, path) with ``allowed``: the longest matching rule of the agent's groups;
     allow wins a tie; no rule allows.
 
-    A group's agent counts where the requesting product's name begins with it, whatever its version;
-    the longest such name is the most specific.
+    A group counts where its agent is the requesting product, whatever the version and case; without such a
+    group, those for all agents count.
     """
     wanted = requests.withColumn("__id", F.struct(key, "agent", "path"))
-    product = F.regexp_extract(F.lower("agent"), r"^\s*([a-z_-]+)", 1)
-    own = rules.select(key, F.regexp_extract("agent", r"^\s*(\*|[a-z_-]+)", 1).alias("__agent"), "allow", _plain_path(F.col("path")).alias("__rule"))
-    fits = (F.col("__agent") == "*") | ((F.col("__agent") != "") & F.startswith(F.col("__product"), F.col("__agent")))
-    met = wanted.select("__id", product.alias("__product"), _plain_path(F.col("path")).alias("__path"), key).join(own, key).where(fits)
+    own = rules.select(key, _product(F.col("agent")).alias("__agent"), "allow", _plain_path(F.col("path")).alias("__rule"))
+    fits = (F.col("__agent") == "*") | ((F.col("__agent") != "") & (F.col("__product") == F.col("__agent")))
+    met = wanted.select("__id", _product(F.col("agent")).alias("__product"), _plain_path(F.col("path")).alias("__path"), key).join(own, key).where(fits)
     length = F.when(F.col("__agent") == "*", 0).otherwise(F.length("__agent"))
     specific = met.groupBy("__id").agg(F.max(length).alias("__most"))
     met = met.join(specific, "__id").where(length == F.col("__most"))

@@ -1,9 +1,12 @@
+import ipaddress
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from podium.functions import facts, names, numbers, places, web
+from podium.functions import addresses, facts, names, numbers, places, web
 
 
 def column(spark, values, kind="string"):
@@ -73,6 +76,11 @@ def test_countries(spark):
     df = column(spark, raw)
     got = {r.i: r.country_code for r in places.with_country(df, "v", places.country_keys(spark)).collect()}
     assert [got[i] for i in range(10)] == ["DE", "DE", "DE", "DE", "US", None, None, None, None, None]
+    more = ["Iran, Islamic Republic of", "Islamic Republic of Iran", "Korea (Republic of)", "Republic of Korea", "U.K.", "Côte d'Ivoire", "Viet Nam", "Burkina Faso", "Türkiye", "Seoul, South Korea", "Zambia", "Holland", "Russian Federation"]
+    aliases = spark.createDataFrame([("Holland", "NL")], "alias string, code string")
+    told = {r.i: r.country_code for r in places.with_country(column(spark, more), "v", places.country_keys(spark, aliases=aliases)).collect()}
+    assert [told[i] for i in range(len(more))] == ["IR", "IR", "KR", "KR", "GB", "CI", "VN", "BF", "TR", "KR", "ZM", "NL", "RU"]
+    assert places.country_dim(spark).count() > 240
     assert values(df, places.fallback_label(F.col("v")))[5:] == ["Multinational", "Atlantis", "Unknown", "Unknown", "Unknown"]
     near = spark.createDataFrame([("CN", ["HK"]), ("CN", ["JP"]), ("FR", ["FR", "DE"])], "a string, b array<string>")
     assert [r[0] for r in near.select(places.same_country(F.col("a"), F.col("b"))).collect()] == [True, False, True]
@@ -83,15 +91,56 @@ def test_web(spark):
     df = column(spark, urls).withColumn("base", F.lit("https://example.org/dir/"))
     assert values(df, web.normalize_url("v", "base")) == ["https://example.org/a/b?k=1", None, "https://example.org/x", None, "https://other.net/", None]
     ips = ["10.1.2.3", "8.8.8.8", "172.31.0.1", "172.32.0.1", "256.1.1.1", "x", "192.168.1.1"]
-    assert values(column(spark, ips), web.is_reserved(F.col("v"))) == [True, False, True, False, True, True, True]
+    assert values(column(spark, ips), addresses.is_reserved(F.col("v"))) == [True, False, True, False, True, True, True]
     hosts = spark.createDataFrame([("www.a.edu", "a.edu"), ("x.a.edu", "a.edu"), ("ba.edu", "a.edu")], "a string, b string")
     assert [r[0] for r in hosts.select(web.same_site(F.col("a"), F.col("b"))).collect()] == [True, True, False]
     assert values(column(spark, ["/About-us", "/news/2024", "/zzz", None]), web.link_kind(F.col("v"))) == ["about", "news", "other", None]
     assert values(column(spark, ["https://www.youtube.com/x", "https://notyoutube.com"]), web.social_network(F.col("v"))) == ["youtube", None]
-    errors = ["returned HTTP 404", "HTTP 503", "captcha shown", None, "has no official website"]
-    assert values(column(spark, errors), web.failure_class(F.lit("fetch"), F.col("v"))) == ["discovery", "transient", "blocked", None, "blocked"]
-    assert values(column(spark, errors), web.failure_class(F.lit("registry"), F.col("v"))) == ["blocked", "blocked", "blocked", None, "discovery"]
-    assert values(column(spark, errors), web.retries(F.lit("fetch"), F.col("v"), "recoverable")) == [True, True, False, True, False]
+    failed = spark.createDataFrame([(404, None), (503, None), (403, None), (None, None), (None, "ConnectTimeoutError"), (None, "TimeoutError"), (None, "RedirectException"), (429, "x"), (302, None)], "s int, e string")
+    kinds = [r[0] for r in failed.select(web.failure_class(F.col("s"), F.col("e"))).collect()]
+    assert kinds == ["absent", "transient", "refused", None, "refused", "transient", "absent", "transient", "absent"]
+    assert [r[0] for r in failed.select(web.retries(F.col("s"), F.col("e"), ("transient",))).collect()] == [False, True, False, True, False, True, False, True, False]
+    assert [r[0] for r in failed.select(web.retries(F.col("s"), F.col("e"), ())).collect()] == [k is None for k in kinds]
+    pages = spark.createDataFrame([("https://a.edu/about",), ("https://www.a.edu/x/y/z",), ("https://b.org/news/1",), ("https://a.edu/",)], "u string")
+    assert [r[0] for r in pages.select(web.page_priority(F.col("u"), F.lit(10), F.lit("a.edu"))).collect()] == [46, 12, -55, 22]
+    assert [r[0] for r in pages.select(web.page_priority(F.col("u"), F.lit(0), F.lit("a.edu"), {"news": 9}, 0, 1)).collect()] == [0, -2, 8, 0]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_addresses_against_the_standard_library(spark, seed):
+    rng = random.Random(seed)
+    texts = ["::", "::1", "1::", "::ffff:10.0.0.1", "::ffff:8.8.8.8", "::FFFF:7f00:1", "2001:db8::1", "2002::1", "2606:4700::1111", "fe80::1%eth0", "[2001:4860::8888]", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::",
+             "1::2::3", ":::", "12345::", "1:2:3", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7", "::1.2.3", "::1.2.3.400", "g::", "", None, " 8.8.8.8 ", "2001:0:1::", "2001:2::9", "3fff::1", "4000::", "64:ff9b::1"]
+    for _ in range(300):
+        whole = ipaddress.IPv6Address(rng.getrandbits(128) & rng.getrandbits(128) & rng.choice([(1 << 128) - 1, (1 << 64) - 1, ~((1 << 80) - 1) & ((1 << 128) - 1)]))
+        texts += [str(whole), whole.exploded, str(ipaddress.IPv4Address(rng.getrandbits(32)))]
+
+    def plain(text):
+        try:
+            found = ipaddress.ip_address((text or "").strip().split("%")[0].strip("[]"))
+        except ValueError:
+            return None
+        return int(found) | (0xFFFF << 32 if found.version == 4 else 0)
+
+    got = [r[0] for r in column(spark, texts).select("i", addresses.number(F.col("v")).alias("n")).orderBy("i").select("n").collect()]
+    numbers = [None if r is None else (r.hi + (1 << 63)) << 64 | (r.lo + (1 << 63)) for r in got]
+    assert numbers == [plain(t) for t in texts]
+    known = [r for r in zip(numbers, got) if r[0] is not None]
+    assert [r[0] for r in sorted(known, key=lambda r: (r[1].hi, r[1].lo))] == sorted(r[0] for r in known)
+    reserved = dict(zip(texts, values(column(spark, texts), addresses.is_reserved(F.col("v")))))
+    assert not any(reserved[t] for t in ("::ffff:8.8.8.8", "2606:4700::1111", "[2001:4860::8888]", "3fff::1", " 8.8.8.8 "))
+    assert all(reserved[t] for t in ("::ffff:10.0.0.1", "::FFFF:7f00:1", "2001:db8::1", "2002::1", "fe80::1%eth0", "::", "4000::", "2001:0:1::", "2001:2::9", "", None, "g::", "64:ff9b::1"))
+
+
+def test_address_blocks_against_the_standard_library(spark):
+    blocks = ["10.0.0.0/8", "192.0.2.77/24", "0.0.0.0/0", "1.2.3.4/32", "2001:db8::/32", "::/0", "fe80::1/64", "2001:db8:1:2:3::/80", "::1/128", "2001:db8::ff/127"]
+    rows = column(spark, [*blocks, "x/8", "10.0.0.0/33", "10.0.0.0"]).select("i", addresses.bounds(F.col("v")).alias("b")).orderBy("i").collect()
+    join = lambda n: (n.hi + (1 << 63)) << 64 | (n.lo + (1 << 63))
+    for block, row in zip(blocks, rows):
+        net = ipaddress.ip_network(block, strict=False)
+        base = 0xFFFF << 32 if net.version == 4 else 0
+        assert (join(row.b.low), join(row.b.high)) == (base | int(net.network_address), base | int(net.broadcast_address)), block
+    assert [r.b for r in rows[len(blocks) :]] == [None, None, None]
 
 
 def test_facts(spark):
