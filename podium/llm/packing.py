@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import materialise, table, texts
+from podium.llm.common import hand_back, materialise, table, texts
 from podium.llm.tokens import encoder
 
 WINDOW = 2048
@@ -31,6 +31,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, keep_blank: bool
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         encode, part, total = encoder(tokenizer_path, keep_blank), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
