@@ -3,7 +3,7 @@
 A page is parsed into leaf blocks, each with its tag path (tags, classes and ids from the
 root).  A bidirectional LSTM in numpy reads hashed tag-path and word vectors of the whole
 sequence and labels every block as article or not; so a block's label depends on the whole
-page.  It is trained here, on pages made by rule from many layouts (``sample_pages``).
+page.  It is trained here, on pages made by rule from many layouts (``training_pages``).
 
 Defined results: a null or empty page, or one without article blocks, has an empty text;
 character references are decoded once, white space in a block is one space, blocks join by
@@ -75,6 +75,7 @@ class Path(NamedTuple):
 
     def inside(self, names: list[str]) -> Path:
         slots, told = self.slots, self.told
+        names = [name for name in names if name[0] != "." or name[1:] in KINDS]  # a name of somebody's own tells nothing
         for name in names:
             slots |= 1 << zlib.crc32(name.encode()) % PATH_SLOTS
             kind = KINDS.get(name[1:]) if name[0] == "." else TELLING.index(name) if name in TELLING else None
@@ -325,9 +326,9 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 SYLLABLES = "an ar be ci da de en er es fi ga he in is ka la le lo ma me mi mo na ne no on or pa pe qu ra re ri ro sa se si so ta te ti to tra un ur va ve vi wo zu ß ö é ñ th sch".split()
 
 
-def sample_pages(count: int = TRAIN_PAGES, seed: int = 11) -> Iterator[tuple[str, list[bool]]]:
+def training_pages(count: int = TRAIN_PAGES, seed: int = 11) -> Iterator[tuple[str, list[bool]]]:
     """Pages made by rule, and for each of their blocks whether it is article text: in turn plain and wild ones."""
-    for plain, wild in zip(plain_pages(count // 2, seed), wild_pages(count // 2, seed + 1)):
+    for plain, wild in zip(sample_pages(count // 2, seed), wild_pages(count // 2, seed + 1)):
         yield plain
         yield wild
 
@@ -342,6 +343,7 @@ PHRASES = {
     "ad": ["Advertisement", "Sponsored", "Buy now and save", "Order today", "Special offer ends soon", "Click here for a free trial"],
     "comments": ["Comments", "Leave a reply", "Reply", "Report", "says", "Responses", "Join the discussion"],
 }
+COMMON = "the of and to in a is that for it was on are as with his they at be this from have or by one had not but what all were when we there can an your which their said if do will each about how up out them then she many some so these would other into has more her two like him see time could no make than first been its who now people my made over did down only way find use may water long little very after words called just where most know".split()
 NEUTRAL = "page site wrapper wrap container row col col8 inner outer layout content main app root grid box block left right center clearfix panel region primary body view section module group l r x".split()
 
 
@@ -350,8 +352,12 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
     rng = random.Random(seed)
     letters = "abcdefghijklmnopqrstuvwxyz0123456789"
 
+    plain = [*COMMON, *(w for said in PHRASES.values() for phrase in said for w in phrase.lower().strip(".").split())]
+    share = 0.0
+
     def word() -> str:
-        return "".join(rng.choice(SYLLABLES) for _ in range(rng.choice([1, 1, 2, 2, 3])))
+        """Made up or, in a share of the words that differs from page to page, one that boilerplate says too."""
+        return rng.choice(plain) if rng.random() < share else "".join(rng.choice(SYLLABLES) for _ in range(rng.choice([1, 1, 2, 2, 3])))
 
     def sentence(n: int, stop: bool = True) -> str:
         made = [word() for _ in range(n)]
@@ -409,7 +415,7 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
         elif kind == "form":
             inner = f"<label>{sentence(2, False)}</label><input><p>{sentence(4)}</p><button>{rng.choice(PHRASES['notice'])}</button>"
         else:
-            inner = " ".join(rng.sample(said, rng.randint(1, 3))) + (" " + sentence(rng.randint(2, 25)) if rng.random() < 0.5 else "")
+            inner = " ".join(rng.sample(said, rng.randint(1, 3))) + (" " + sentence(rng.randint(2, 12)) if rng.random() < 0.5 else "")
             inner = rng.choice([f"<p>{inner}</p>", inner, links(kind if kind in PHRASES else "nav", 3)])
         if tag == "p":
             inner = re.sub(r"</?(p|ul|li|div|table|tr|td)[^>]*>", " ", inner)
@@ -449,6 +455,7 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
         return out
 
     for _ in range(count):
+        share = rng.choice([0.0, 0.4, 0.8])
         out, labels = ["<!DOCTYPE html><html><head><title>x</title></head><body>"], []
 
         def add(html: str, article: bool) -> None:
@@ -463,7 +470,7 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
                 made.append("</td></tr></table>" if tag == "td" else f"</{tag}>")
             return made[::-1]
 
-        around = wrap(rng.choice([0, 0, 1, 1, 2, 3]), ["div", "div", "div", "section", "td"], None)
+        around = wrap(rng.choice([0, 0, 1, 1, 2, 3, 5]), ["div", "div", "div", "section", "td"], None)
         for kind in ("notice", "header", "nav", "form", "ad", "nav", "social"):
             if rng.random() < (0.7 if kind in ("nav", "header") else 0.25):
                 add(boiler(kind), False)
@@ -471,14 +478,19 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
         early = rng.random() < 0.25
         if early:
             add(boiler("aside"), False)
-        inner = wrap(rng.choice([0, 1, 1, 2, 3]), ["div", "div", "div", "section", "article", "td"], "article" if rng.random() < 0.5 else None)
+        inner = wrap(rng.choice([0, 1, 1, 2, 3, 5]), ["div", "div", "div", "section", "article", "td"], "article" if rng.random() < 0.5 else None)
         if rng.random() < 0.75:
             tag = rng.choice(["h1", "h1", "h2"])
             add(f"<{tag}{named(None) if rng.random() < 0.3 else ''}>{sentence(rng.randint(1, 10), False)}</{tag}>", True)
+        parted, part = rng.random() < 0.2, []  # the article's parts in containers of their own
         for html in paragraphs(rng.choice(["p", "p", "p", "mixed", "div", "br"])):
+            if parted and (not part or rng.random() < 0.4):
+                out += part
+                part = wrap(1, ["div", "div", "section"], None)
             add(html, True)
             if rng.random() < 0.05:
                 add(boiler(rng.choice(["ad", "social", "notice", "aside"])), False)
+        out += part
         if rng.random() < 0.3:
             add(boiler(rng.choice(["social", "aside", "comments"])), False)
         out += inner
@@ -495,7 +507,7 @@ def wild_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
         yield "".join(out), labels
 
 
-def plain_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
+def sample_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
     """Pages whose article is one container with a telling name."""
     rng = random.Random(seed)
 
@@ -587,7 +599,7 @@ def plain_pages(count: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
 def trained() -> Labeller:
     """The labeller, trained once per process."""
     model = Labeller()
-    pages = [(blocks(html), labels) for html, labels in sample_pages()]
+    pages = [(blocks(html), labels) for html, labels in training_pages()]
     model.train([(vectors(page), np.array(labels, np.float32)) for page, labels in pages if page and len(page) == len(labels)])
     return model
 
