@@ -157,6 +157,10 @@ def read_shard(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if z else x for x, z in zip(named, nulls)], sizes, decode_blocks(packed, first, n)
 
 
+#: Characters of a text that cut ranges of rows with one doc_id.
+RANGE_CHARS = 64
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
     """Shards in ascending doc_id order under ``path``.
 
@@ -189,9 +193,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END
         if held:
             yield flush()
 
-    by = ["doc_id", "__code"]  # rows that share a doc_id, or have none, may fill many ranges
-    coded = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("__code"))
-    ordered = coded.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("doc_id", "text")
+    # rows that share a doc_id, or have none, may fill many ranges; how a text begins keeps the order of whole texts
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.left("text", F.lit(RANGE_CHARS))).sortWithinPartitions("doc_id", "text")
     shards = ordered.mapInArrow(run, "part int, seq long, n_ids long, shard binary")
     shards.write.option("compression", "zstd").parquet(path)
 
