@@ -155,6 +155,22 @@ def trie(rows: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+#: The same in DuckDB: prefixes are lists of turns, and crc32 is reckoned bit by bit.
+PREFIX_TRIE_SQL = r"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY n) AS turns FROM t GROUP BY 1),
+h AS (SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 4 AS h FROM o),
+r AS (SELECT a.conv_id, list_concat(coalesce(b.turns[1 : a.h], []), a.turns[a.h + 1 :]) AS turns FROM h a LEFT JOIN o b ON b.conv_id = a.conv_id - a.conv_id % 20),
+p AS (SELECT conv_id, len(turns) AS size, d, turns[1 : d] AS path FROM r, unnest(range(len(turns) + 1)) u(d)),
+nodes AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+kids AS (SELECT path[1 : d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * len(regexp_extract_all(nodes.path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved FROM nodes LEFT JOIN kids ON nodes.path = kids.path),
+sub AS (SELECT w.path[1 : a] AS path, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens FROM whole w, unnest(range(d + 1)) u(a) GROUP BY 1)
+SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM whole w JOIN sub ON sub.path = w.path LEFT JOIN whole up ON w.d > 0 AND up.path = w.path[1 : w.d - 1]"""
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes of all conversations, openings joined."""
     rows, ids = joined_openings(materialise(turns(table(spark, sf_dir, "conversations")), "turns"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from podium.llm.conversations import op13_prefix_trie
+from podium.llm.conversations import PREFIX_TRIE_SQL, op13_prefix_trie
 from podium.llm.decontaminate import op8_benchmark_decontamination
 from podium.llm.html_text import op5_html_extraction
 from podium.llm.licenses import op2_license_scan
@@ -31,6 +31,6 @@ QUERIES = {
     "op12_source_mixing": op12_source_mixing,
     "op13_prefix_trie": op13_prefix_trie,
 }
-#: None of these has a form that DuckDB runs on whole tables: they train models, call
-#: tokenizers or walk metric and bit trees.  Each is tested against brute force.
-ORACLES: dict[str, str] = {}
+#: The others have no form that DuckDB runs on whole tables: they train models, call tokenizers, walk
+#: metric and bit trees or draw by Spark's hashes.  Each is tested against brute force.
+ORACLES: dict[str, str] = {"op13_prefix_trie": PREFIX_TRIE_SQL}

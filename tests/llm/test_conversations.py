@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from podium.llm import conversations
@@ -72,6 +73,17 @@ def test_query_equals_the_dictionary(spark, tmp_path, seed):
     assert sorted(map(tuple, got.collect()), key=lambda r: (r[0], r[1], r[3])) == expected(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sql_equals_the_dictionary(seed):
+    rows = sample(seed, 120)
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    duck.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    found = duck.execute(conversations.PREFIX_TRIE_SQL)
+    assert tuple(c[0] for c in found.description) == COLUMNS
+    assert sorted(found.fetchall(), key=lambda r: (r[0], r[1], r[3])) == expected(rows)
+
+
 def test_hot_first_turns_and_copies(spark, tmp_path):
     """So many rows that hot nodes are told from the others."""
     rows = [(c, t, "user", "same" if c % 3 or t == 0 else f"{c} {t}") for c in range(9000) for t in range(1 + c % 8 * 2)]
