@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.functions.numbers import growth_rate, percent_change
+from podium.operators import ordered
 from podium.operators import relational as R
 from podium.plans.base import CONSENSUS, NATIONS, RANKED, SCORED, YEARLY, consensus, nations, ranked, scores, table
 from podium.plans.registry import registry
@@ -133,16 +134,17 @@ def subject_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH scored AS (SELECT p_type AS subject, l_suppkey AS entity, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 placed AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY q DESC, entity) AS rank FROM scored),
 types AS (SELECT subject, row_number() OVER (ORDER BY subject) AS k FROM (SELECT DISTINCT subject FROM placed))
-SELECT entity, max(CASE WHEN k = 1 THEN rank END) AS s1, max(CASE WHEN k = 2 THEN rank END) AS s2, max(CASE WHEN k = 3 THEN rank END) AS s3, max(CASE WHEN k = 4 THEN rank END) AS s4
-FROM placed JOIN types USING (subject) GROUP BY entity""")
+SELECT entity, max(CASE WHEN k = 1 THEN rank END) AS s1, max(CASE WHEN k = 2 THEN rank END) AS s2, max(CASE WHEN k = 3 THEN rank END) AS s3, max(CASE WHEN k = 4 THEN rank END) AS s4,
+max(CASE WHEN k = 5 THEN rank END) AS s5, max(CASE WHEN k = 6 THEN rank END) AS s6 FROM placed JOIN types USING (subject) GROUP BY entity""")
 def subject_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranks of an entity in the first four subjects, one column each."""
+    """Ranks of an entity in all subjects, one column each; a subject is ranked by as many tasks as it has ranges."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("subject"))
     items = table(spark, sf_dir, "lineitem").select("l_partkey", F.col("l_suppkey").alias("entity"), F.col("l_quantity").cast("decimal(18,2)").alias("q"))
     scored = items.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("subject", "entity").agg(F.sum("q").alias("q"))
-    placed = scored.withColumn("rank", F.row_number().over(Window.partitionBy("subject").orderBy(F.desc("q"), "entity")))
-    types = parts.select("subject").distinct().orderBy("subject").limit(4).withColumn("k", F.concat(F.lit("s"), F.row_number().over(Window.orderBy("subject"))))
-    return placed.join(F.broadcast(types), "subject").groupBy("entity").pivot("k", ["s1", "s2", "s3", "s4"]).agg(F.max("rank"))
+    placed = ordered.with_numbers(scored, ["subject"], [F.desc("q"), "entity"], "rank")
+    subjects = sorted(r[0] for r in parts.select("subject").distinct().collect())  # a dimension of fixed size
+    named = F.create_map(*[F.lit(x) for k, subject in enumerate(subjects) for x in (subject, f"s{k + 1}")])
+    return placed.withColumn("k", named[F.col("subject")]).groupBy("entity").pivot("k", [f"s{k + 1}" for k in range(len(subjects))]).agg(F.max("rank"))
 
 
 @query(f"""WITH {YEARLY}, {CONSENSUS}, a AS (SELECT * FROM yearly WHERE year = 1995), b AS (SELECT * FROM yearly WHERE year = 2000),
@@ -212,6 +214,17 @@ def scale_impact_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.spearman(rows, "scale", "impact").select(F.bround("spearman", 6).alias("spearman"), "n")
 
 
+@query("""WITH ind AS (SELECT l_suppkey AS entity, sum(CAST(l_quantity AS DECIMAL(18,2))) AS scale, round_even(count(*) FILTER (WHERE l_discount >= 0.08)::DOUBLE / count(*), 9) AS top FROM lineitem GROUP BY 1),
+r AS (SELECT rank() OVER (ORDER BY scale) + (count(*) OVER (PARTITION BY scale) - 1) / 2.0 AS rx, rank() OVER (ORDER BY top) + (count(*) OVER (PARTITION BY top) - 1) / 2.0 AS ry FROM ind)
+SELECT round_even(corr(rx::DOUBLE, ry::DOUBLE), 6) AS spearman, count(*) AS n FROM r""")
+def scale_top_share_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the large ones have the larger share of strong items."""
+    items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("entity")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(28,2)").alias("scale"), F.bround(F.count_if(F.col("l_discount") >= 0.08).cast("double") / F.count("*"), 9).alias("top"),
+    )
+    return R.spearman(items, "scale", "top").select(F.bround("spearman", 6).alias("spearman"), "n")
+
+
 @query(f"""WITH {INDICATORS} SELECT arg_min(entity, struct_pack(a := scale, b := entity)) AS smallest, arg_max(entity, struct_pack(a := scale, b := -entity)) AS largest,
 arg_max(entity, struct_pack(a := round_even(impact, 9), b := -entity)) AS strongest, count(*) FILTER (WHERE n >= 500) AS big FROM ind""")
 def spotlights_argmin(spark: SparkSession, sf_dir: str) -> DataFrame:
