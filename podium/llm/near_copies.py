@@ -14,6 +14,8 @@ of copies cost rows in proportion to their size:
 2. each node with the leads of its blocks that are not of its group yet;
 3. in blocks that still hold several groups, the pairs of different groups within
    ``MAX_BITS``, by the trie.  Subtries of one group are never compared with their like.
+   Members bring their whole sets, so the task that finds pairs confirms them and returns
+   only those that link groups not linked yet: fewer than it has members.
 
 Defined results: null and wordless texts have the empty set and are alike; a text of
 fewer words is one shingle; rows without a doc_id link like others but name a group only
@@ -42,6 +44,8 @@ SIMILARITY = Fraction(4, 5)
 MAX_BITS, BANDS, ROWS = 18, 16, 3
 #: Members of a block that one task compares with as many others, on average at most.
 BLOCK_ROWS = 4096
+#: Shingles of a part, on average at most (16 MB).
+BLOCK_SHINGLES = 2_000_000
 #: Rows (of two longs) whose sets are compared are broadcast up to this many, else shuffled.
 MOST_BROADCAST = 500_000
 
@@ -91,11 +95,8 @@ def _same_row(docs: DataFrame) -> Column:
     return F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash(docs["text"]) == F.col("__of"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar; ``pairs`` is a written table."""
-    if pairs.isEmpty():
-        return pairs
-    wanted = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+def _sets(wanted: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int) -> DataFrame:
+    """node, whole (its shingle set, ascending) of the nodes ``wanted``, a written table; written."""
     ids = distinct.join(wanted, "node").select(F.col("who.doc_id").alias("__id"), F.col("who.of").alias("__of"))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -106,7 +107,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], ["node", "whole"])
 
     rows = docs.select("doc_id", "text").join(bounded(ids, MOST_BROADCAST), _same_row(docs), "left_semi")
-    sets = materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole array<long>").dropDuplicates(["node"]), "sets")
+    return materialise(rows.select("text").mapInArrow(map_batches(whole), "node long, whole array<long>").dropDuplicates(["node"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar; ``pairs`` is a written table."""
+    if pairs.isEmpty():
+        return pairs
+    sets = _sets(materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted"), docs, distinct, shingle)
     held = pairs.join(sets.select(F.col("node").alias("a"), F.col("whole").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("whole").alias("y")), "b")
 
     # pair by pair in the JVM: a batch of pairs would hold all their sets at once
@@ -115,15 +123,54 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, shingle:
     return materialise(held.where(similar).select("a", "b"), "links")
 
 
+def _linking(i: np.ndarray, j: np.ndarray, sets: tuple[list, list], roots: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (i, j) of two sides as many similar ones as link what all the similar ones link.
+
+    A pair whose groups are linked already is left out, so there are fewer than members of both sides.
+    """
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    sizes_x, sizes_y = (np.array([len(x) for x in side], np.int64) for side in sets)
+    codes = np.unique(np.concatenate([*sets[0], *sets[1]]), return_inverse=True)[1]
+    ends = np.concatenate([[0], np.cumsum(np.concatenate([sizes_x, sizes_y]))])
+    held = np.zeros(int(codes.max()) + 1 if len(codes) else 0, bool)
+    group = np.unique(np.concatenate(roots), return_inverse=True)[1]
+    of_x, of_y = group[: len(sizes_x)], group[len(sizes_x) :]
+    label = np.arange(int(group.max()) + 1)
+    above, below = similarity.numerator, similarity.numerator + similarity.denominator
+    links = []
+    firsts = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+    for k, stop in zip(firsts, [*firsts[1:], len(i)]):
+        x, ys = i[k], j[k:stop]
+        ys = ys[label[of_y[ys]] != label[of_x[x]]]
+        if not len(ys):
+            continue
+        mine = codes[ends[x] : ends[x + 1]]
+        held[mine] = True
+        for at in range(0, len(ys), 1024):
+            some = ys[at : at + 1024]
+            starts = np.cumsum(sizes_y[some]) - sizes_y[some]
+            flat = np.arange(sizes_y[some].sum()) + np.repeat(ends[len(sizes_x) + some] - starts, sizes_y[some])
+            both = np.add.reduceat(held[codes[flat]].astype(np.int64), starts)
+            for y in some[both * below >= above * (sizes_x[x] + sizes_y[some])]:
+                old, new = label[of_y[y]], label[of_x[x]]
+                if old != new:
+                    label[label == old] = new
+                    links.append((x, y))
+        held[mine] = False
+    found = np.array(links, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def _trie_pairs(members: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs (a, b) of different groups of a block within ``MAX_BITS``; ``members``: key, node, n, fp, root.
+    """Pairs (a, b) that link the groups of a block which similar texts within ``MAX_BITS`` link.
 
-    Blocks are cut into parts of about ``BLOCK_ROWS``, and a task meets two parts.
+    ``members``: key, node, n, fp, root, parts (of the block) and whole.  A task meets two parts, compares the
+    whole sets of what the trie finds there, and returns fewer pairs than it has members.
     """
-    parts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-    dealt = looked_up(members, parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = met.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "n", "fp", "root")
+    met = met.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "n", "fp", "root", "whole")
     share = float(similarity)
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,14 +179,17 @@ def _trie_pairs(members: DataFrame, similarity: Fraction) -> DataFrame:
         for part in (lo, hi):
             side = pdf[pdf["part"] == part]
             order = np.argsort(side["fp"].to_numpy(np.int64).view(np.uint64), kind="stable")
-            sides.append([side[c].to_numpy()[order] for c in ("fp", "node", "n", "root")])
-        (fx, nx, sx, rx), (fy, ny, sy, ry) = sides
+            sides.append([side[c].to_numpy()[order] for c in ("fp", "node", "n", "root", "whole")])
+        (fx, nx, sx, rx, wx), (fy, ny, sy, ry, wy) = sides
         empty = pd.DataFrame({"a": np.array([], np.int64), "b": np.array([], np.int64)})
         if not len(fx) or not len(fy):
             return empty
         i, j = _pairs_within(fx.view(np.uint64), fy.view(np.uint64), lo == hi, 64, MAX_BITS, (rx, ry))
         fits = np.minimum(sx[i], sy[j]) >= share * np.maximum(sx[i], sy[j])
-        a, b = nx[i][fits], ny[j][fits]
+        if not fits.any():
+            return empty
+        i, j = _linking(i[fits], j[fits], (list(wx), list(wy)), (rx, ry), similarity)
+        a, b = nx[i], ny[j]
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
     return met.groupBy("key", "lo", "hi").applyInPandas(join, "a long, b long").distinct()
@@ -184,8 +234,10 @@ def _grouped(docs: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataF
     placed = shared.select("key", "node", "n", "fp").join(roots, "node")
     still = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("open")).where("open").select("key")
     members = materialise(looked_up(placed, still, "key").select("key", "node", "n", "fp", "root"), "open")
-    third = _trie_pairs(members, similarity).join(first.union(second), ["a", "b"], "left_anti")
-    confirmed = _confirmed(materialise(third, "pairs"), docs, distinct, shingle, similarity)
+    # parts of about BLOCK_ROWS texts and BLOCK_SHINGLES shingles
+    parts = members.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    sets = _sets(materialise(members.select("node").distinct(), "wanted"), docs, distinct, shingle)
+    confirmed = materialise(_trie_pairs(looked_up(looked_up(members, parts, "key"), sets, "node"), similarity), "links")
     if not confirmed.isEmpty():
         roots = joined(roots, confirmed)
     named = distinct.select("node", "who").join(roots, "node")
