@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -56,13 +57,21 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, rank: str
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
+def _exact(df: DataFrame, value: str) -> Column:
+    """True where no two values are one double."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, (LongType, DecimalType)):
+        return F.abs(F.col(value).cast("double")) < 2.0**50 / 10 ** getattr(kind, "scale", 0)
+    return F.lit(True)
+
+
 def _cut(df: DataFrame, keys: list[str], value: str, descending: bool, ranges: int | None, deal_nulls: bool = True) -> DataFrame:
-    """Adds ``__range``, the range of ``value`` in its key, the first ranges first, and ``__start``, the rows before it.
+    """Adds ``__range``, the range of ``value`` in its key, the first ranges first, ``__start``, the rows before it, and ``__size``, its rows.
 
     Approximate quantiles cut each key's values (numeric) into as many ranges as Spark has
     shuffle partitions, so that no task sorts a whole key.  Keys are few (publishers, years,
     none): their cuts and sizes are a row a key or range, and are broadcast.  Equal values
-    share a range.  Nulls come after all ranges, dealt out evenly or, where their order counts, in one.
+    share a range, and those that equal a cut have an odd one for themselves.  Nulls come after all ranges, dealt out evenly or, where their order counts, in one.
     """
     ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     number = F.col(value).cast("double")
@@ -78,11 +87,12 @@ def _cut(df: DataFrame, keys: list[str], value: str, descending: bool, ranges: i
     else:
         cut = df.withColumn("__cuts", df.agg(quantiles).scalar())
     passed = F.size(F.filter("__cuts", (lambda c: c > number) if descending else (lambda c: c < number)))
-    last = F.lit(ranges) + (F.pmod(F.xxhash64(*df.columns), F.lit(ranges)) if deal_nulls else F.lit(0))
-    cut = cut.withColumn("__range", F.when(number.isNull(), last).otherwise(passed).cast("int")).drop("__cuts")
+    last = F.lit(2 * ranges) + (F.pmod(F.xxhash64(*df.columns), F.lit(ranges)) if deal_nulls else F.lit(0))
+    alone = F.array_contains("__cuts", number) & _exact(df, value)
+    cut = cut.withColumn("__range", F.when(number.isNull(), last).otherwise(2 * passed + F.when(alone, 1).otherwise(0)).cast("int")).drop("__cuts")
     sizes = cut.groupBy(*keys, "__range").agg(F.count("*").alias("__size"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
-    starts = sizes.select(*keys, "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    starts = sizes.select(*keys, "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"), "__size")
     return met(cut, starts, [*keys, "__range"])
 
 
@@ -92,17 +102,31 @@ def range_ranked(df: DataFrame, keys: list[str], value: str, name: str = "rank",
     As ``rank_min`` and ``rank_average``, for keys too large to be sorted by one task.
     """
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    place = F.col("__start") + F.rank().over(Window.partitionBy(*keys, "__range").orderBy(order))
+    dealt = _dealt(_cut(df, keys, value, descending, ranges), keys, df.columns, ranges)
+    alone = F.col("__deal") >= 0
+    place = F.col("__start") + F.when(alone, 1).otherwise(F.rank().over(Window.partitionBy(*keys, "__range", "__deal").orderBy(order)))
     if average:
-        place = place + (F.count("*").over(Window.partitionBy(*keys, "__range", value)) - 1) / 2
-    return _cut(df, keys, value, descending, ranges).withColumn(name, F.when(F.col(value).isNotNull(), place)).drop("__range", "__start")
+        peers = F.when(alone, F.col("__size")).otherwise(F.count("*").over(Window.partitionBy(*keys, "__range", "__deal", value)))
+        place = place + (peers - 1) / 2
+    return dealt.withColumn(name, F.when(F.col(value).isNotNull(), place)).drop("__range", "__start", "__size", "__deal")
+
+
+def _dealt(cut: DataFrame, keys: list[str], columns: list[str], ranges: int | None) -> DataFrame:
+    """Adds ``__deal``: rows of one value that has a range for itself need no order and are dealt out; the others have -1.
+
+    Spark does not join these partitions to larger ones, as their number is given.
+    """
+    ranges = ranges or max(2, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    deal = F.pmod(F.xxhash64(*columns), F.lit(ranges)).cast("int")
+    dealt = cut.withColumn("__deal", F.when((F.col("__range") < 2 * ranges) & (F.col("__range") % 2 == 1), deal).otherwise(-1))
+    return dealt.repartition(ranges, *keys, "__range", "__deal")
 
 
 def numbered(df: DataFrame, key: str, ties: list, name: str = "position", buckets: int | None = None) -> DataFrame:
     """A global row number by ``key`` descending, nulls last, without one task that sorts everything."""
     cut = _cut(df, [], key, True, buckets, deal_nulls=False)
     within = F.row_number().over(Window.partitionBy("__range").orderBy(F.col(key).desc_nulls_last(), *ties))
-    return cut.withColumn(name, F.col("__start") + within).drop("__range", "__start")
+    return cut.withColumn(name, F.col("__start") + within).drop("__range", "__start", "__size")
 
 
 def concentration(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
