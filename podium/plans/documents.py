@@ -48,6 +48,8 @@ UNION ALL SELECT id, 'student_staff_ratio', (share / 2.0)::DOUBLE, 'ratio' FROM
 def text_fact_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts out of sentences: three lines for each customer, one of them about a department for every seventh."""
     told = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (1500 + F.col("c_custkey") % 500).alias("year"), (1000 + F.col("c_custkey") * 7).alias("people"), (F.col("c_custkey") % 90 + 5).alias("share"))
+    # narrow rows come in few splits, and the patterns are the work
+    told = told.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), "id")
     about = F.when(F.col("id") % 7 == 0, "The department of history").otherwise("The university")
     lines = F.array(
         F.concat(about, F.lit(" was founded by the citizens in "), F.col("year").cast("string"), F.lit(" and has "), F.format_number("people", 0), F.lit(" enrolled students today.")),
