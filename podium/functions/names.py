@@ -1,6 +1,6 @@
 """Names: folding, normalising, tokens and similarity.
 
-NFKD folding has no built-in, so it is an Arrow-batched pandas UDF for the rows that are not ASCII; all else is built in.
+NFKD folding has no built-in, so it is an Arrow-batched UDF for the rows that are not ASCII; all else is built in.
 """
 
 import html
@@ -8,7 +8,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "#39": "'"}
 #: Words that carry no identity in an institution's name.
 STOP_WORDS = ("the", "of", "and", "at", "in", "for", "de", "du", "des", "la", "le", "der", "die", "das", "und", "et", "di", "del", "y", "university", "universitat", "universite", "universidad")
+#: Rows of a batch that are Python strings at once.
+SLICE = 128
 _REFERENCE = re.compile(r"&(#\d+|#[xX][0-9a-fA-F]+|[a-zA-Z]+|#39);")
 
 
@@ -40,12 +42,16 @@ def _ascii(text: str) -> str:
 
 
 def _mapped(function: Callable[[str], str], column: Column, needed: Column, plain: Column) -> Column:
-    """An Arrow-batched UDF for the rows that need it; the others stay in the JVM as ``plain``."""
+    """An Arrow-batched UDF for the rows that need it; the others stay in the JVM as ``plain``.
 
-    def run(text: pd.Series) -> pd.Series:  # made where it is used, as workers import this module too
-        return text.map(function, na_action="ignore")
+    A batch holds thousands of whole texts, so ``SLICE`` of them at a time become Python strings.
+    """
 
-    return F.when(needed, F.pandas_udf(run, "string")(F.when(needed, column))).otherwise(plain)
+    def run(text: pa.Array) -> pa.Array:  # made where it is used, as workers import this module too
+        parts = [pa.array([None if x is None else function(x) for x in text.slice(at, SLICE).to_pylist()], pa.string()) for at in range(0, len(text), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return F.when(needed, F.arrow_udf(run, "string")(F.when(needed, column))).otherwise(plain)
 
 
 def _is_ascii(column: Column) -> Column:
