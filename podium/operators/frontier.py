@@ -32,19 +32,21 @@ def crawled(seeds: DataFrame, pages: DataFrame, links: DataFrame, budget: int =
     edges = written(links, "links")
     frontier = written(best(seeds.select("entity", "url", "score")), "frontier")
     read = None
+    # never broadcast: in each round all of these would go through the driver
+    merged = lambda df: df.hint("merge")
     for attempt in range(1, budget * tries + 1):
         choice = frontier
         if read is not None:
             spent = read.groupBy("entity").agg(F.count("nth").alias("done")).where(F.col("done") >= budget)
-            choice = frontier.join(read.select("entity", "url"), ["entity", "url"], "anti").join(spent, "entity", "anti")
+            choice = frontier.join(merged(read.select("entity", "url")), ["entity", "url"], "anti").join(merged(spent), "entity", "anti")
         picked = choice.groupBy("entity").agg(F.min_by("url", F.struct((-F.col("score")).alias("s"), "url")).alias("url"))
-        fetched = picked.join(known, "url", "left").select("entity", "url", "page", F.lit(attempt).alias("attempt"))
+        fetched = picked.join(merged(known), "url", "left").select("entity", "url", "page", F.lit(attempt).alias("attempt"))
         if read is None:
             now = fetched.withColumn("nth", F.when(F.col("page").isNotNull(), 1))
         else:
             done = read.where("nth is not null").groupBy("entity").agg(F.max("nth").alias("done"))
             twice = read.where("nth is not null").select("entity", "page", F.lit(True).alias("again"))
-            counted = fetched.join(done, "entity", "left").join(twice, ["entity", "page"], "left")
+            counted = fetched.join(merged(done), "entity", "left").join(merged(twice), ["entity", "page"], "left")
             fresh = F.col("page").isNotNull() & F.col("again").isNull()
             now = counted.select("entity", "url", "page", "attempt", F.when(fresh, F.coalesce("done", F.lit(0)) + 1).alias("nth"))
         now = written(now, f"round{attempt}")
@@ -52,6 +54,6 @@ def crawled(seeds: DataFrame, pages: DataFrame, links: DataFrame, budget: int =
             break
         read = written(now if read is None else read.unionByName(now), f"read{attempt}")
         on = ["page", "entity"] if "entity" in edges.columns else ["page"]
-        found = now.where("nth is not null").select("entity", "page").join(edges, on).select("entity", "url", "score")
+        found = now.where("nth is not null").select("entity", "page").join(merged(edges), on).select("entity", "url", "score")
         frontier = written(best(frontier.unionByName(found)), f"frontier{attempt}")
     return now if read is None else read
