@@ -23,9 +23,13 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Memos that have grown to so many entries (some 200 bytes each) lose the newer half: what is
-#: frequent was seen early.
+#: Entries (some 200 bytes each) of the memos of ``Pretokens``; a memo that has grown to so many is emptied.
 MEMO_PIECES, MEMO_PRETOKENS = 700_000, 600_000
+#: An encoder's memo of pieces becomes the older one at so many entries, and the one before it goes: what occurs
+#: again moves to the newer one, so two workers stay well within what an executor leaves beside its heap.
+MEMO_GENERATION = 300_000
+#: Its memo of pre-tokens that are not whole pieces loses the newer half at so many: what is frequent was seen early.
+MEMO_WORDS = 100_000
 #: Longer pieces are not kept.
 MEMO_CHARS = 64
 CHUNK = 256
@@ -74,35 +78,64 @@ def _of_pretokens(tokenizer: Tokenizer) -> Tokenizer:
     return single
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary has for each byte: its own where it prints, else the next from U+0100 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [x for x in range(256) if x not in printed]
+    return {x: chr(x) for x in printed} | {x: chr(256 + k) for k, x in enumerate(rest)}
+
+
 def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower: bool) -> Callable[[list[str]], list[bytes]]:
     """``lower``: the vocabulary is lower case and marks the ends of words."""
-    single = _of_pretokens(tokenizer)
     special = specials(tokenizer)
-    lines = Tokenizer(tokenizer.model)  # for many of them at once, a line each
-    lines.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\n"), single.pre_tokenizer])
-    vocabulary = tokenizer.get_vocab()
-    ends = np.zeros(max(vocabulary.values()) + 1, bool)
-    ends[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
+    letters, merged = _byte_letters(), tokenizer.model.tokenize
     code = "I" if array("I").itemsize == 4 else "L"
-    memo: dict[str, bytes] = {}
+    start = "" if lower else letters[ord(" ")]
+    older: dict[str, bytes] = {}
     words: dict[str, bytes] = {}
 
-    def encode(texts: list[str], by: Tokenizer = tokenizer) -> list[bytes]:
-        return [array(code, e.ids).tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_pretokens(texts: list[str]) -> list[bytes]:
-        """By lines where word ends tell them apart again."""
-        if not lower:
-            return encode(texts, single)
-        out = []
-        for at in range(0, len(texts), 500):
-            part = texts[at : at + 500]
-            ids = np.array(lines.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *((np.flatnonzero(ends[ids]) + 1) * 4).tolist()]
-            flat = ids.tobytes()
-            whole = len(cuts) == len(part) + 1 and cuts[-1] == len(flat)
-            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])] if whole else encode(part, single)
-        return out
+    def encode(texts: list[str]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_pretoken(spelt: str) -> bytes:
+        """Of byte letters, by the library's model itself: around single words the rest of the library takes longer than the merging."""
+        return array(code, [token.id for token in merged(spelt)]).tobytes()
+
+    def spelt(word: str) -> str:
+        return word.encode().decode("latin-1").translate(letters)
+
+    def of_word(word: str) -> bytes:
+        ids = words.get(word)
+        if ids is None:
+            ids = encode_pretoken(spelt(word))
+            if len(word) <= MEMO_CHARS:
+                words[word] = ids
+        return ids
+
+    class Memo(dict):
+        """Ids of pieces; one that it lacks was known before, or is derived, or encoded by pre-tokens."""
+
+        def __missing__(self, piece: str) -> bytes:
+            ids = older.get(piece)
+            if ids is None:
+                form = piece.lower() if lower else piece
+                if not form.isalpha():
+                    ids = derived(piece)
+                    if ids is None:
+                        ids = b"".join(map(of_word, pretokens(piece)))
+                elif form.isascii():  # one pre-token, as below
+                    ids = memo.get(form) if lower and form != piece else None
+                    if ids is None:
+                        ids = encode_pretoken(start + form)
+                elif max(piece) < "\u0250":
+                    ids = encode_pretoken(start + spelt(form))
+                else:
+                    ids = b"".join(map(of_word, pretokens(piece)))
+            if len(piece) <= MEMO_CHARS:
+                self[piece] = ids
+            return ids
+
+    memo = Memo()
 
     @lru_cache(maxsize=70_000)
     def closes(last: str) -> bool:
@@ -110,39 +143,14 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
         return last.isalnum() and (not lower or last.isascii() or (len(form := tokenizer.normalizer.normalize_str(last)) == 1 and form.isalnum()))
 
     def derived(piece: str) -> bytes | None:
-        """From a known piece: the same in lower case, or with full stops or commas after a letter or digit."""
-        if lower and piece.isascii():
-            low = piece.lower()
-            if low != piece and low in memo:
-                return memo[low]
+        """Of full stops or commas after a letter or digit, from what stands before them."""
         core = piece.rstrip(".,")
-        if core != piece and core and closes(core[-1]) and core in memo:
-            tail = words.get(piece[len(core) :])
-            return None if tail is None else memo[core] + tail
+        if core != piece and core and closes(core[-1]):
+            return memo[core] + of_word(piece[len(core) :])
         return None
 
-    def learn(missing: set[str]) -> tuple[list[str], list[str]]:
-        for held, most in (memo, MEMO_PIECES), (words, MEMO_PRETOKENS):
-            if len(held) > most:
-                for key in list(held)[most // 2 :]:
-                    del held[key]
-        easy = [(piece, ids) for piece in missing if (ids := derived(piece)) is not None]
-        memo.update(easy)
-        new = [piece for piece in missing if piece not in memo] if easy else list(missing)
-        cut = list(map(pretokens, new))
-        unseen = list(set().union(*cut).difference(words))
-        words.update(zip(unseen, encode_pretokens(unseen)))
-        word = words.__getitem__
-        memo.update(zip(new, [word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts)) for parts in cut]))
-        return list(missing), unseen
-
-    def forget(new: list[str], unseen: list[str]) -> None:
-        for held, keys in (memo, new), (words, unseen):
-            for key in keys:
-                if len(key) > MEMO_CHARS:
-                    del held[key]
-
     def run(texts: list[str]) -> list[bytes]:
+        nonlocal memo, older
         out = []
         gc.disable()  # the memos hold no cycles; walking them again and again takes longer than the work
         for at in range(0, len(texts), CHUNK):
@@ -150,15 +158,15 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
             whole = [k for k, text in enumerate(chunk) if any(x in text for x in special)]
             plain = chunk if not whole else ["" if k in set(whole) else text for k, text in enumerate(chunk)]
             first, rest = zip(*((cut[0], cut[1:]) for cut in map(pieces, plain)))
-            known = [list(map(memo.get, tail)) for tail in rest]
-            missing = {piece for tail, ids in zip(rest, known) if None in ids for piece, x in zip(tail, ids) if x is None}
-            learnt = learn(missing)
-            known = [[memo[p] if x is None else x for p, x in zip(tail, ids)] if None in ids else ids for tail, ids in zip(rest, known)]
-            found = [head + b"".join(ids) for head, ids in zip(encode(list(first)), known)]
+            found = [head + b"".join(map(memo.__getitem__, tail)) for head, tail in zip(encode(list(first)), rest)]
             for k, ids in zip(whole, encode([chunk[k] for k in whole])):
                 found[k] = ids
             out += found
-            forget(*learnt)
+            if len(memo) > MEMO_GENERATION:
+                memo, older = Memo(), memo
+            if len(words) > MEMO_WORDS:
+                for key in list(words)[MEMO_WORDS // 2 :]:
+                    del words[key]
         gc.enable()
         return out
 
