@@ -51,23 +51,25 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    blocks = -(-n // block)
-    grid = np.zeros(blocks * block, np.uint64)
+    blocks, most = -(-n // block), int(COUNTS[0])
+    grid = np.zeros(blocks * block + most, np.uint64)
     grid[:n] = ids
-    selector = np.full(blocks * block, ESCAPE, np.int8)
-    place = np.arange(blocks * block, dtype=np.int32)
-    ends = np.minimum((place // block + 1) * block, n).astype(np.int32)
-    fitting = place  # a selector of narrower ids fits only where all wider ones do
     top = int(grid.max())
+    small = grid[: blocks * block].reshape(blocks, block).astype(np.min_scalar_type(top))
+    selector = np.full((blocks, block), ESCAPE, np.int8)
+    fits = np.ones((blocks, block + most), bool)  # beyond a block's end anything does
     for s in range(len(COUNTS) - 1, -1, -1):  # from one id a word to sixty: the later, the better
-        if top >> int(WIDTHS[s]):
-            wide = np.zeros(len(grid) + 1, np.int32)
-            np.cumsum(grid >= np.uint64(1 << int(WIDTHS[s])), out=wide[1:])
-            stop = np.maximum(np.minimum(fitting + np.int32(COUNTS[s]), ends[fitting]), fitting)
-            fitting = fitting[wide[stop] == wide[fitting]]
-        selector[fitting] = s
-    selector = selector.astype(np.int64)
-    taken = np.minimum(np.where(selector == ESCAPE, 1, COUNTS[np.minimum(selector, 13)]), np.maximum(ends - place, 1))
+        if not top >> int(WIDTHS[s]):
+            selector[:] = s
+            continue
+        fits[:, :block] = small < (1 << int(WIDTHS[s]))
+        row, held = fits, 1
+        while held < COUNTS[s]:  # whether so many in a row do
+            step = min(held, int(COUNTS[s]) - held)
+            row, held = row[:, :-step] & row[:, step:], held + step
+        np.putmask(selector, row[:, :block], s)
+    selector = selector.ravel()
+    taken = np.append(COUNTS, [0, 1])[selector]  # a block's last word holds fewer
     walk, heads = np.arange(blocks) * block, []
     limit = np.minimum(walk + block, n)
     active = np.arange(blocks)
@@ -76,7 +78,8 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
         walk[active] += taken[walk[active]]
         active = active[walk[active] < limit[active]]
     head = np.sort(np.concatenate(heads))
-    chosen = selector[head]
+    chosen = selector[head].astype(np.int64)
+    left = np.minimum(taken[head], limit[head // block] - head)
     size = np.where(chosen == ESCAPE, 2, 1)
     at = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -87,13 +90,12 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
         mine = np.flatnonzero(chosen == s)
         if not len(mine):
             continue
-        shifts = np.arange(int(COUNTS[s]), dtype=np.uint64) * np.uint64(WIDTHS[s])
-        full = mine[taken[head[mine]] == COUNTS[s]]
-        held = grid[head[full][:, None] + np.arange(int(COUNTS[s]))]
-        words[at[full]] |= np.bitwise_or.reduce(held << shifts, axis=1)
-        for one in mine[taken[head[mine]] < COUNTS[s]].tolist():  # the ends of blocks
-            left = int(taken[head[one]])
-            words[at[one]] |= np.bitwise_or.reduce(grid[head[one] : head[one] + left] << shifts[:left])
+        begin, packed, ends = head[mine], np.zeros(len(mine), np.uint64), left[mine]
+        whole = ends.min() == COUNTS[s]
+        for j in range(int(COUNTS[s])):
+            ids_j = grid[begin + j]
+            packed |= (ids_j if whole else np.where(j < ends, ids_j, np.uint64(0))) << np.uint64(j * int(WIDTHS[s]))
+        words[at[mine]] |= packed
     first = at[np.searchsorted(head, np.arange(blocks) * block)]
     return words, first.astype(np.uint64)
 
@@ -121,12 +123,17 @@ def decode_blocks(words: np.ndarray, first: np.ndarray, n: int, block: int = BLO
     out[p[escaped]] = words[w[escaped] + 1]
     for k in range(len(COUNTS)):
         mine = np.flatnonzero(s == k)
-        mask = np.uint64((1 << int(WIDTHS[k])) - 1)
-        for j in range(int(COUNTS[k]) if len(mine) else 0):
-            held = mine[p[mine] + j < end[mine]]
-            if not len(held):
-                break
-            out[p[held] + j] = (words[w[held]] >> np.uint64(j * int(WIDTHS[k]))) & mask
+        if not len(mine):
+            continue
+        mask, room = np.uint64((1 << int(WIDTHS[k])) - 1), end[mine] - p[mine]
+        for these, whole in (mine[room >= COUNTS[k]], True), (mine[room < COUNTS[k]], False):
+            held, begin, some = words[w[these]], p[these], end[these] - p[these]
+            for j in range(int(COUNTS[k]) if whole else int(some.max(initial=0))):
+                part = (held >> np.uint64(j * int(WIDTHS[k]))) & mask
+                if whole:
+                    out[begin + j] = part
+                else:  # a block's last word
+                    out[begin[some > j] + j] = part[some > j]
     return out
 
 

@@ -27,12 +27,14 @@ from tokenizers import Tokenizer, pre_tokenizers
 MEMO_PIECES, MEMO_PRETOKENS = 700_000, 600_000
 #: An encoder's memo of pieces becomes the older one at so many entries, and the one before it goes: what occurs
 #: again moves to the newer one, so two workers stay well within what an executor leaves beside its heap.
-MEMO_GENERATION = 300_000
+MEMO_GENERATION = 400_000
 #: Its memo of pre-tokens that are not whole pieces loses the newer half at so many: what is frequent was seen early.
 MEMO_WORDS = 100_000
 #: Longer pieces are not kept.
 MEMO_CHARS = 64
 CHUNK = 256
+#: ASCII marks but for the apostrophe, which may begin a pre-token of letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _SPLIT = re.compile(r" (?=\S)")
 _LOOSE = re.compile(r" (?!\S)")
@@ -143,8 +145,8 @@ def _encoder(tokenizer: Tokenizer, pretokens: Callable[[str], list[str]], lower:
         return last.isalnum() and (not lower or last.isascii() or (len(form := tokenizer.normalizer.normalize_str(last)) == 1 and form.isalnum()))
 
     def derived(piece: str) -> bytes | None:
-        """Of full stops or commas after a letter or digit, from what stands before them."""
-        core = piece.rstrip(".,")
+        """Of marks after a letter or digit, which are one pre-token, from what stands before them."""
+        core = piece.rstrip(MARKS)
         if core != piece and core and closes(core[-1]):
             return memo[core] + of_word(piece[len(core) :])
         return None
