@@ -18,6 +18,8 @@ ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp":
 STOP_WORDS = ("the", "of", "and", "at", "in", "for", "de", "du", "des", "la", "le", "der", "die", "das", "und", "et", "di", "del", "y", "university", "universitat", "universite", "universidad")
 #: Rows of a batch that are Python strings at once.
 SLICE = 128
+#: Every byte as a lower-case letter A to Z, or else a blank.
+_LETTERS = bytes(b | 32 if bytes([b]).isalpha() else 32 for b in range(256))
 _REFERENCE = re.compile(r"&(#\d+|#[xX][0-9a-fA-F]+|[a-zA-Z]+|#39);")
 
 
@@ -99,6 +101,28 @@ def searchable_names(name_list: Column, shortest: int = 8) -> Column:
     return F.transform(F.array_sort(F.transform(kept, lambda n: F.struct((-F.length(n)).alias("n"), n.alias("name")))), lambda s: s["name"])
 
 
+def _longest(text: bytes, most: int) -> list[str]:
+    words = text.translate(_LETTERS).split()
+    for least in (12, 8, 0):  # most texts have enough long words, so that few are sorted
+        found = {w for w in words if len(w) >= least}
+        if len(found) >= most:
+            break
+    return [w.decode() for w in sorted(found, key=lambda w: (-len(w), w))[:most]]
+
+
+def longest_words(text: Column, most: int) -> Column:
+    """The ``most`` longest distinct words of the letters A to Z, in lower case, ties by the alphabet; none of null.
+
+    An Arrow-batched UDF, as built-in functions would make and sort all words of a text.
+    """
+
+    def run(text: pa.Array) -> pa.Array:
+        parts = [pa.array([_longest(x or b"", most) for x in text.slice(at, SLICE).cast(pa.binary()).to_pylist()], pa.list_(pa.string())) for at in range(0, len(text), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")(text)
+
+
 def subject_labels(df: DataFrame, scope: str, labels: DataFrame) -> DataFrame:
     """Adds ``label``: what ``labels`` (scope, label) says, else the scope in title case without "field-"."""
     known = labels.select(F.col("scope").alias("__scope"), F.col("label").alias("__label"))

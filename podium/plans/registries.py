@@ -43,10 +43,9 @@ PAIRS = """p AS (SELECT block, key, record, max(CASE WHEN key = name AND kind =
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang, ws."""
-    found = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), F.lower))
-    long = F.array_sort(F.transform(found, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
-    return written(docs.select("doc_id", "lang", F.transform(F.slice(long, F.lit(1), (4 + F.col("doc_id") % 3).cast("int")), lambda s: s["w"]).alias("ws")), "named")
+    long = names.longest_words(F.col("text"), 6)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", long.alias("long"))
+    return written(docs.select("doc_id", "lang", F.slice("long", F.lit(1), (4 + F.col("doc_id") % 3).cast("int")).alias("ws")), "named")
 
 
 def _name(words: Column | str) -> Column:

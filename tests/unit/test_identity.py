@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from podium.functions import evidence
+from podium.functions import evidence, names as name_functions
 from podium.operators import identity
 
 
@@ -129,3 +129,12 @@ def test_mentions_are_whole_words(spark):
     texts = spark.createDataFrame([(1, "The Old Stone, and more"), (2, "bold stones"), (3, None), (4, "old  STONE")], "text_id long, text string")
     names = spark.createDataFrame([(7, "Old Stone"), (8, "stone"), (9, ""), (9, None), (7, "old stone")], "entity long, name string")
     assert sorted(tuple(r) for r in identity.mentions(texts, names).collect()) == [(1, 7, "old stone"), (1, 8, "stone"), (4, 7, "old stone"), (4, 8, "stone")]
+
+
+def test_longest_words_equal_the_rule(spark):
+    rng = random.Random(8)
+    bits = ["a", "Bb", "bB", "ccc", "Stone", "stonE", "É", "naïve", "\u212a", "\u0130x", "12", "_", " ", " ", "\n", "abcdefghijklmno", "Zbcdefghijkl", "bcdefghij"]
+    texts = [None, "", "É 12", *("".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(400))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [list(r[0]) for r in df.select(name_functions.longest_words(F.col("text"), 6)).collect()]
+    assert got == [sorted({w.lower() for w in re.findall("[A-Za-z]+", t or "")}, key=lambda w: (-len(w), w))[:6] for t in texts]
