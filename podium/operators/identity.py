@@ -14,6 +14,8 @@ OFFICIAL, ALIAS, ACRONYM, SAME_TOKENS = 100, 90, 80, 80
 LEAST_DICE, LEAST_SHARED, LEAD = 0.82, 3, 5
 SHORTEST_ACRONYM = 3
 EVERYWHERE = "*"
+#: A token of more sets of its block than this is often; sets of more tokens than ``LONG`` meet by single tokens all the same.
+OFTEN, LONG = 100, 16
 #: Keys with more than one row in so many are looked up by broadcast; there are at most as many.
 HOT = 1000
 
@@ -36,13 +38,22 @@ def _prefix(n: Column) -> Column:
     return F.greatest(n - needed + 1, F.lit(0))
 
 
-def similar_token_sets(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(block, left_sig, right_sig, shared, dice) of different token sets that are alike enough.
+def _joined(tokens: Column) -> Column:
+    return F.array_join(tokens, "\u0001")
 
-    Both sides have block, sig (unique in its block) and tokens.  A pair is found by the rarest token that
-    both prefixes hold, and counted there only; sizes too far apart do not meet.
-    """
-    sides = {"left": left, "right": right}
+
+def _triples(tokens: Column) -> Column:
+    """All three of ``tokens``, in their order."""
+
+    def after(x: Column, rest: Column) -> Column:
+        return F.flatten(F.transform(rest, lambda y, j: F.transform(F.slice(rest, j + 2, F.size(rest)), lambda z: _joined(F.array(x, y, z)))))
+
+    return F.flatten(F.transform(tokens, lambda x, i: after(x, F.slice(tokens, i + 2, F.size(tokens)))))
+
+
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The sets of both sides that show a key in common, a row for each such key."""
+    sides, ratio = {"left": left, "right": right}, LEAST_DICE / (2 - LEAST_DICE)
     shown = {side: df.select("block", "sig", "tokens", F.explode("tokens").alias("token")) for side, df in sides.items()}
     frequency = written(
         shown["left"].select("block", "token").unionByName(shown["right"].select("block", "token")).groupBy("block", "token").agg(F.count("*").alias("n")), "frequency"
@@ -51,15 +62,41 @@ def similar_token_sets(left: DataFrame, right: DataFrame) -> DataFrame:
     def prefixes(side: str) -> DataFrame:
         rows = written(shown[side].select("block", "sig", "token", F.concat_ws("\u0001", "block", "token").alias("at")), f"tokens_{side}")
         ordered = with_lookup(rows, frequency, "at").groupBy("block", "sig").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("order"))
-        tokens = F.transform("order", lambda s: s["token"])
-        size = F.size("order")
-        out = ordered.select("block", F.col("sig").alias(f"{side}_sig"), tokens.alias(f"{side}_tokens"), F.slice(tokens, F.lit(1), _prefix(size).cast("int")).alias(f"{side}_prefix"))
-        return out.withColumn("token", F.explode(f"{side}_prefix"))
+        ordered = ordered.withColumn("size", F.size("order")).withColumn("single", _prefix(F.col("size")).cast("int")).where("single > 0")
+        shows = ordered.withColumn("longer", F.slice("order", F.lit(1), F.col("single") + LEAST_SHARED - 1))
+        shows = shows.withColumn("often", F.transform(F.filter("longer", lambda s: s["n"] > OFTEN), lambda s: s["token"]))
+        alone = F.filter(F.slice("order", F.lit(1), F.col("single")), lambda s: (s["n"] <= OFTEN) | (F.col("size") > LONG * ratio))
+        keys = F.transform(alone, lambda s: F.struct((s["n"] > OFTEN).alias("often"), s["token"].alias("by")))
+        size, rare = F.col("size"), F.size("longer") - F.size("often")
+        others = F.sequence(F.ceil(size * ratio - 1e-9).cast("int"), F.least(F.floor(size / ratio + 1e-9), F.lit(LONG)).cast("int"))
 
+        def shown_to(other: Column) -> Column:  # the more two sets must share, the fewer tokens each shows
+            needed = F.greatest(F.ceil(LEAST_DICE / 2 * (size + other) - 1e-9), F.lit(LEAST_SHARED)).cast("int")
+            triples = _triples(F.slice("often", F.lit(1), F.greatest(size - needed + LEAST_SHARED - rare, F.lit(0))))
+            return F.transform(triples, lambda t: F.struct(F.lit(None).cast("boolean").alias("often"), _joined(F.array(t, *(n.cast("string") for n in ((size, other) if side == "left" else (other, size))))).alias("by")))
+
+        threes = F.flatten(F.transform(others, shown_to))
+        met_by = F.when((F.size("often") >= LEAST_SHARED) & (F.col("size") <= LONG), F.concat(keys, threes)).otherwise(keys)
+        out = shows.select("block", F.col("sig").alias(f"{side}_sig"), F.col("order.token").alias(f"{side}_tokens"), F.col("longer.token").alias(f"{side}_prefix"), F.explode(met_by).alias("key"))
+        return out.select("*", "key.*").drop("key")
+
+    return prefixes("left").join(prefixes("right").drop("often"), ["block", "by"])
+
+
+def similar_token_sets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(block, left_sig, right_sig, shared, dice) of different token sets that are alike enough.
+
+    Both sides have block, sig (unique in its block) and tokens.  A pair is found by the rarest token that
+    both prefixes hold, and counted there only; sizes too far apart do not meet.  Where that token is often, so
+    are all that the pair shares, and it is found by the rarest three, which stand in prefixes longer by two, and
+    by both sizes, which tell how long those are.
+    """
     a, b = F.size("left_tokens"), F.size("right_tokens")
     ratio = LEAST_DICE / (2 - LEAST_DICE)
-    met = prefixes("left").join(prefixes("right"), ["block", "token"]).where((a >= b * ratio - 1e-9) & (b >= a * ratio - 1e-9) & (F.col("left_sig") != F.col("right_sig")))
-    first = met.where(F.col("token") == F.get(F.array_intersect("left_prefix", "right_prefix"), F.lit(0)))
+    met = _met(left, right).where((a >= b * ratio - 1e-9) & (b >= a * ratio - 1e-9) & (F.col("left_sig") != F.col("right_sig")))
+    common, is_long = F.array_intersect("left_prefix", "right_prefix"), F.greatest(a, b) > LONG
+    by_three = F.col("often").isNull() & ~is_long & (F.col("by") == _joined(F.concat(F.slice(common, F.lit(1), F.lit(LEAST_SHARED)), F.array(a.cast("string"), b.cast("string")))))
+    first = met.where(F.when(F.col("often").isNull(), by_three).otherwise((~F.col("often") | is_long) & (F.col("by") == F.get(common, F.lit(0)))))
     counted = first.withColumn("shared", F.size(F.array_intersect("left_tokens", "right_tokens"))).withColumn("dice", 2.0 * F.col("shared") / (a + b))
     return counted.where((F.col("shared") >= LEAST_SHARED) & (F.col("dice") >= LEAST_DICE)).select("block", "left_sig", "right_sig", "shared", "dice")
 
@@ -156,7 +193,7 @@ def resolved(seeds: DataFrame, records: DataFrame, names: DataFrame, affiliation
     others = name_scores(keyed.where(country.isNotNull()).select(F.lit(EVERYWHERE).alias("block"), "name"), other_names.select(F.lit(EVERYWHERE).alias("block"), F.col("other").alias("record"), "name", "kind"))
     only = leaders(others, 1e-9).select("key", F.col("record").alias("other"))
     claimed = claims.groupBy("other").agg(F.countDistinct("record").alias("n"), F.min("record").alias("record"))
-    only = only.join(claimed, "other", "left").select(F.col("key").alias("key"), "other", "n", "record")
+    only = written(only.join(claimed, "other", "left").select("key", "other", "n", "record"), "only")  # a look-up reads it twice
     asked = written(keyed.where(country.isNotNull()).select("seed", "country", N.institution_name(F.col("name")).alias("key")), "asked")
     crossed = looked_up(written(with_lookup(asked, only, "key"), "crossed"), "record")
     reason = (

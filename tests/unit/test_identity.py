@@ -1,5 +1,7 @@
 """Names alike against all pairs, the cascade's reasons, evidence by position."""
 
+import collections
+import itertools
 import random
 import re
 
@@ -138,3 +140,38 @@ def test_longest_words_equal_the_rule(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [list(r[0]) for r in df.select(name_functions.longest_words(F.col("text"), 6)).collect()]
     assert got == [sorted({w.lower() for w in re.findall("[A-Za-z]+", t or "")}, key=lambda w: (-len(w), w))[:6] for t in texts]
+
+
+def all_pairs(left, right):
+    """The rule in plain words."""
+    out = set()
+    for b, s, t in left:
+        for c, u, v in right:
+            shared = len(set(t) & set(v))
+            if b == c and s != u and shared >= 3 and 2 * shared / (len(t) + len(v)) >= 0.82:
+                out.add((b, s, u, shared))
+    return out
+
+
+def test_sets_of_often_tokens_equal_all_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(16)]
+
+    def side():
+        found = {tuple(sorted(rng.sample(words, min(16, int(rng.paretovariate(1)) + 2)) + [f"r{rng.randint(0, 40)}"] * rng.randint(0, 1))) for _ in range(260)}
+        return [(rng.choice("ab"), " ".join(t), list(t)) for t in sorted(found)]
+
+    left, right = side(), side()
+    want = all_pairs(left, right)
+    assert len(want) > 50 and max(len(t) for _, _, t in left) > 10
+    for often, long in ((10, 16), (10, 7), (0, 16), (0, 4), (10**9, 16)):  # also sets on either side of LONG
+        monkeypatch.setattr(identity, "OFTEN", often)
+        monkeypatch.setattr(identity, "LONG", long)
+        got = [tuple(r[:4]) for r in identity.similar_token_sets(sets(spark, left), sets(spark, right)).collect()]
+        assert sorted(got) == sorted(want)  # each once
+
+
+def test_sets_of_often_tokens_do_not_all_meet(spark):
+    """Each token stands in a fifth of the sets; by single tokens some five million rows would meet."""
+    rows = [("b", " ".join(t), list(t)) for t in itertools.combinations([f"w{k:02}" for k in range(20)], 4)]
+    assert identity._met(sets(spark, rows), sets(spark, rows)).count() == sum(n * n for n in collections.Counter(tuple(t[:3]) for _, _, t in rows).values()) < 50_000
